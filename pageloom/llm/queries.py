@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, sharding, url_rules
+from . import byte_bpe, decontaminate, language_id, sharding, substring_dedup, url_rules
 
 #: The rules of the URL filter.
 RULES = [url_rules.Rule("net", "/", "block"), url_rules.Rule("example.net", "/en/", "allow"), url_rules.Rule("example.com", "/de/", "block"), url_rules.Rule("org", "/fr/", "allow")]
@@ -23,6 +23,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(table(spark, folder, "documents"), keep=["doc_id"])
+    return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    out = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"])
+    n_hit = decontaminate.n_hit(F.col("hits"))
+    return out.select(
+        "row.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+    )
+
+
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, folder, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -47,6 +61,8 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_url_filter": op3_url_filter,
     "op4_byte_bpe": op4_byte_bpe,
     "op8_language_id": op8_language_id,
