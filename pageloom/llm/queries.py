@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, language_id, sharding, substring_dedup, url_rules
+from . import byte_bpe, dart_minhash, decontaminate, language_id, sharding, substring_dedup, url_rules
 
 #: The rules of the URL filter.
 RULES = [url_rules.Rule("net", "/", "block"), url_rules.Rule("example.net", "/en/", "allow"), url_rules.Rule("example.com", "/de/", "block"), url_rules.Rule("org", "/fr/", "allow")]
@@ -55,6 +55,10 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(id_.alias("doc_id"), F.coalesce(F.pmod(F.crc32(id_.cast("string")), F.lit(5)) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, folder, "documents")).select(F.col("doc").alias("doc_id"), "class_id")
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id")
     return sharding.assign_shards(docs, ["doc_id"], SHARDS, SLOTS).select("doc_id", "slot", "shard")
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_byte_bpe": op4_byte_bpe,
     "op8_language_id": op8_language_id,
+    "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
 }
 
