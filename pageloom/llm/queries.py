@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, dart_minhash, decontaminate, language_id, sharding, substring_dedup, url_rules
+from . import byte_bpe, dart_minhash, decontaminate, html_text, language_id, metric_tree, sharding, substring_dedup, url_rules
 
 #: The rules of the URL filter.
 RULES = [url_rules.Rule("net", "/", "block"), url_rules.Rule("example.net", "/en/", "allow"), url_rules.Rule("example.com", "/de/", "block"), url_rules.Rule("org", "/fr/", "allow")]
@@ -46,6 +46,16 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(byte_bpe.ids_text(F.col("ids")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = metric_tree.quantised(table(spark, folder, "embeddings"), "vec_id", "embedding", 1024)
+    return metric_tree.top_k(vectors.where("id % 100 = 0"), vectors, 10)
+
+
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    out = html_text.main_text(table(spark, folder, "pages"), keep=["page_id", "url"])
+    return out.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
@@ -69,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_url_filter": op3_url_filter,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_top_k": op5_top_k,
+    "op7_main_text": op7_main_text,
     "op8_language_id": op8_language_id,
     "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
@@ -84,6 +96,14 @@ fit AS (SELECT p.*, r.rule, r.verdict, row_number() OVER (PARTITION BY p.page_id
   FROM part p LEFT JOIN (VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'), ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')) r(h, p, rule, verdict)
   ON (p.host = r.h OR p.host LIKE '%.' || r.h) AND starts_with(p.path, r.p))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit WHERE k = 1
+""",
+    "op5_top_k": r"""
+WITH x AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM x q JOIN x c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """,
     "op10_sharding": f"""
 WITH place AS (SELECT [{", ".join(map(str, sharding.lookup_table(SHARDS, SLOTS)))}] AS owners),
