@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, dart_minhash, decontaminate, html_text, language_id, metric_tree, sharding, substring_dedup, url_rules
+from . import byte_bpe, dart_minhash, decontaminate, html_text, language_id, metric_tree, sharding, substring_dedup, url_rules, weak_quality
 
 #: The rules of the URL filter.
 RULES = [url_rules.Rule("net", "/", "block"), url_rules.Rule("example.net", "/en/", "allow"), url_rules.Rule("example.com", "/de/", "block"), url_rules.Rule("org", "/fr/", "allow")]
@@ -51,6 +51,12 @@ def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return metric_tree.top_k(vectors.where("id % 100 = 0"), vectors, 10)
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    out = weak_quality.score(docs, weak_quality.train(docs), keep=["doc_id"])
+    return out.select("row.doc_id", "n_words", "posterior", "score", ((F.col("n_words") > 0) & (F.col("score") >= 0.5)).alias("keep"))
+
+
 def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     out = html_text.main_text(table(spark, folder, "pages"), keep=["page_id", "url"])
     return out.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_top_k": op5_top_k,
+    "op6_quality": op6_quality,
     "op7_main_text": op7_main_text,
     "op8_language_id": op8_language_id,
     "op9_near_dedup": op9_near_dedup,
