@@ -2,11 +2,11 @@ import os
 import sys
 
 import pytest
+from helpers import DATA
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, HERE)
 os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (HERE, os.environ.get("PYTHONPATH")) if x)
-SMALL, DATA = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
@@ -35,24 +35,3 @@ def duck():
     for t in TABLES:
         con.sql(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     return con
-
-
-def plain(v):
-    """Values alike in both engines."""
-    import math
-
-    if v is None or (isinstance(v, float) and math.isnan(v)):
-        return None
-    if isinstance(v, float):
-        return int(v) if v == int(v) else round(v, 9)
-    return v
-
-
-def same(df, duck, sql):
-    """Asserts that a frame and a statement have the same columns and rows."""
-    cols = sorted(df.columns)
-    other = duck.sql(sql)
-    assert sorted(other.columns) == cols
-    ours = sorted(repr(tuple(map(plain, r))) for r in df.select(*[f"`{c}`" for c in cols]).collect())
-    theirs = sorted(repr(tuple(map(plain, r))) for r in other.select(*[f'"{c}"' for c in cols]).fetchall())
-    assert ours == theirs

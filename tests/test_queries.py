@@ -1,5 +1,5 @@
 import pytest
-from conftest import DATA, same
+from helpers import DATA, same
 
 from pageloom.plans.catalog import ORACLE_SQL, QUERIES
 
