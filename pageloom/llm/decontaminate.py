@@ -168,7 +168,7 @@ def _merge(hits: F.Column) -> F.Column:
 
     def add(done, x):
         last = F.try_element_at(done, F.lit(-1))
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
+        joined = F.named_struct(F.lit("start"), last["start"], F.lit("end"), F.greatest(last["end"], x["end"]))
         return F.when(last.isNotNull() & (x["start"] <= last["end"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(x)))
 
     return F.aggregate(F.array_sort(hits), zero, add)

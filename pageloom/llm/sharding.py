@@ -61,13 +61,15 @@ def assign_shards(df: DataFrame, key_cols: list[str], shards: list[str], size: i
     slot, shard = f"{prefix}slot", f"{prefix}shard"
     if clash := {slot, shard} & set(df.columns):
         raise ValueError(f"choose a prefix: {sorted(clash)} are columns already")
-    session = df.sparkSession
+    session, key = df.sparkSession, "_key"
+    while key in (*df.columns, slot, shard):
+        key += "_"
     owners = ",".join(map(str, lookup_table(shards, size)))
     names = F.array(*[F.lit(s) for s in shards])
-    table = session.range(1).select(F.posexplode(F.split(F.lit(owners), ",")).alias("_slot", "_owner")).select(F.col("_slot").cast("long").alias("_slot"), F.get(names, F.col("_owner").cast("int")).alias(shard))
+    table = session.range(1).select(F.posexplode(F.split(F.lit(owners), ",")).alias(key, "owner")).select(F.col(key).cast("long").alias(key), F.get(names, F.col("owner").cast("int")).alias(shard))
     if size <= BROADCAST_SLOTS:
         table = F.broadcast(table)
-    return df.withColumn(slot, slot_of([F.col(f"`{c}`") for c in key_cols], size)).join(table, F.col(slot) == F.col("_slot"), "left").drop("_slot")
+    return df.withColumn(slot, slot_of([F.col(f"`{c}`") for c in key_cols], size)).join(table, F.col(slot) == F.col(key), "left").drop(key)
 
 
 def write_shards(df: DataFrame, key_cols: list[str], shards: list[str], size: int, path: str, rows_per_file: int = 1_000_000) -> None:
