@@ -26,6 +26,11 @@ GOOD, NOTHING, BAD = 1, 0, -1
 #: Texts that the scorer is fitted on at most.
 FIT_ROWS = 4000
 BITS = 16
+#: Labellers look for different faults and are set to call few good texts bad: at most so many of those they vote on.
+#: Without this bound a fault that one of them alone sees would end as a trait of good texts.
+FALSE_ALARMS = 0.001
+#: Words of no weight that are counted with a text's own, so that a few words decide little.
+SMOOTH = 4
 
 _b = np.arange(256)
 _UPPER, _LOWER, _DIGIT = (_b >= 65) & (_b <= 90), (_b >= 97) & (_b <= 122), (_b >= 48) & (_b <= 57)
@@ -114,22 +119,29 @@ def votes_of(patterns: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class LabelModel:
-    """prior of good; chance[c, j, v + 1] that labeller j votes v for a text of class c (1 good, 0 bad)."""
+    """prior of good; chance[c, j, v + 1] that labeller j, if it votes, votes v for a text of class c (1 good, 0 bad).
+
+    That a labeller does not vote says nothing: its chance is 1 for either.
+    """
 
     prior: float
     chance: np.ndarray
 
     @classmethod
-    def fit(cls, patterns: np.ndarray, counts: np.ndarray, n: int, rounds: int = 200, tolerance: float = 1e-7) -> LabelModel:
+    def fit(cls, patterns: np.ndarray, counts: np.ndarray, n: int, rounds: int = 200, tolerance: float = 1e-7, false_alarms: float = FALSE_ALARMS) -> LabelModel:
         votes = votes_of(patterns, n)
-        good = 1 / (1 + np.exp(-votes.sum(1).astype(float) + 0.5 * (votes == BAD).any(1)))  # the vote's majority to begin with
-        model = cls(0.5, np.full((2, n, 3), 1 / 3))
+        good = np.where((votes == BAD).any(1), 0.1, 0.95)  # to begin with: labellers see different faults, so that one is enough
+        model = cls(0.5, np.ones((2, n, 3)))
         for _ in range(rounds):
             for c, share in enumerate((1 - good, good)):
                 weight = share * counts
-                for v in range(3):
-                    model.chance[c, :, v] = (weight[:, None] * (votes == v - 1)).sum(0) + 1
+                for v in (BAD, GOOD):
+                    model.chance[c, :, v + 1] = (weight[:, None] * (votes == v)).sum(0) + 1
+                model.chance[c, :, 1] = 0
                 model.chance[c] /= model.chance[c].sum(1, keepdims=True)
+                model.chance[c, :, 1] = 1
+            model.chance[1, :, BAD + 1] = np.minimum(model.chance[1, :, BAD + 1], false_alarms)
+            model.chance[1, :, GOOD + 1] = 1 - model.chance[1, :, BAD + 1]
             model.prior = float(((good * counts).sum() + 1) / (counts.sum() + 2))
             old, good = good, model.posterior(votes)
             if np.abs(good - old).max(initial=0) < tolerance:
@@ -149,7 +161,7 @@ class LabelModel:
 
 
 def fit_scorer(rows: np.ndarray, features: np.ndarray, values: np.ndarray, labels: np.ndarray, epochs: int = 60, rate: float = 0.3, decay: float = 1e-6) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression on soft labels; the values of a row sum to 2 (a word and a shape each)."""
+    """Weights and bias of a logistic regression on soft labels."""
     w, b = np.zeros(1 << BITS), 0.0
     g2, gb2 = np.full(1 << BITS, 1e-8), 1e-8
     n = max(1, len(labels))
@@ -189,7 +201,7 @@ def _training(texts: DataFrame) -> DataFrame:
             for text in binary(batch.column(0)):
                 t = Texts([text])
                 f, n = np.unique(t.features().reshape(-1), return_counts=True)
-                yield pa.RecordBatch.from_arrays([int64(pattern_of(t.votes())), pa.array([f.astype(np.uint16).tobytes()], pa.binary()), pa.array([(n / max(1, t.count[0])).astype(np.float32).tobytes()], pa.binary())], ["pattern", "features", "shares"])
+                yield pa.RecordBatch.from_arrays([int64(pattern_of(t.votes())), pa.array([f.astype(np.uint16).tobytes()], pa.binary()), pa.array([(n / (t.count[0] + SMOOTH)).astype(np.float32).tobytes()], pa.binary())], ["pattern", "features", "shares"])
 
     return texts.mapInArrow(run, "pattern long, features binary, shares binary")
 
@@ -228,7 +240,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: li
             for a, b in in_chunks(raw):
                 t = Texts(raw[a:b])
                 votes = t.votes()
-                z = np.bincount(t.words.text, weights=model.weights[t.features()].sum(1), minlength=t.n) / np.maximum(t.count, 1) + model.bias
+                z = np.bincount(t.words.text, weights=model.weights[t.features()].sum(1), minlength=t.n) / (t.count + SMOOTH) + model.bias
                 some = t.count > 0
                 p = np.where(some, 1 / (1 + np.exp(-np.clip(z, -500, 500))), 0.0)
                 posterior = np.where(some, model.labels.posterior(votes.astype(np.int64)), 0.0)
