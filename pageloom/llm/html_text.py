@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 LINES, SURGE = 3, 120
 #: A line whose text is links to this part or more counts for nothing.
 LINK_SHARE = 0.5
@@ -28,10 +30,16 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 NEVER = frozenset("aside button datalist dialog fieldset footer form label legend menu nav search select".split())
 OUTSIDE_ARTICLE = frozenset(["header"])
 NOISE = frozenset(
-    "ad ads adsense advert adverts advertisement advertisements advertising alert announcement banner breadcrumb breadcrumbs bylinks captcha comment comments consent cookie cookies copyright discussion disqus dropdown footer gdpr login masthead menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion reaction reactions recommended recommendations related replies reply respond search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription survey toolbar topbar widget widgets".split()
+    "ad ads adsense advert adverts advertisement advertisements advertising alert announcement banner breadcrumb breadcrumbs bylinks captcha comment comments consent cookie cookies copyright disclaimer discussion disqus dropdown footer form forms gdpr login masthead menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion reaction reactions recommended recommendations related replies reply respond search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription survey toolbar topbar widget widgets".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 NOT_NOISE = frozenset("has with without no".split())
+#: Words that begin or end with these are noise as well (commentlist, sitefooter).
+NOISE_BEGINS, NOISE_ENDS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar"), ("banner", "comments", "footer", "menu", "nav", "sidebar")
+#: A page's own header, where it is not an article's.
+HEADERS, ARTICLES = frozenset("header pageheader siteheader topheader".split()), frozenset("article content entry post story title".split())
+#: A line that says so is the page's, not the article's.
+_RIGHTS = re.compile(r"^(?:©|\(c\)\s|copyright\b)|\ball rights reserved\b", re.I)
 
 #: Elements whose content is not text, whole.
 _RAW = re.compile(r"<(script|style|noscript|template|iframe|object|svg|math|canvas|textarea|title|audio|video|noframes|noembed|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S | re.I)
@@ -58,20 +66,23 @@ def is_noise(name: str, attributes: str, in_article: bool) -> bool:
         if key in ("class", "id"):
             for part in value.split():
                 tokens = {t.lower() for t in _TOKEN.findall(part)}
-                if tokens & NOISE and not tokens & NOT_NOISE:
+                if tokens & NOT_NOISE:
+                    continue
+                if tokens & NOISE or any(t.startswith(NOISE_BEGINS) or t.endswith(NOISE_ENDS) for t in tokens):
+                    return True
+                if tokens & HEADERS and not tokens & ARTICLES and not in_article and name[0] != "h":
                     return True
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """Of each line: its text; the length that counts; whether it stands in an article or main element.  A line that
+def lines_of(page: str) -> list[tuple[str | None, int, int]]:
+    """Of each line: its text; the length that counts; 2 in an article element, 1 in a main one, else 0.  A line that
     is not the article's (noise) has the text None in place of its own."""
-    out: list[tuple[str | None, int, bool]] = []
+    out: list[tuple[str | None, int, int]] = []
     text: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # element, noise, article
-    noise = article = False
-    in_link = False
+    stack: list[tuple[str, bool, int]] = []  # element, noise, article
+    noise, article, in_link = False, 0, False
 
     def flush() -> None:
         nonlocal linked
@@ -79,13 +90,13 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             line = " ".join(references.unescape("".join(text)).split())
             text.clear()
             if line:
-                out.append((None, 0, article) if noise else (line, 0 if linked >= LINK_SHARE * len(line) else len(line), article))
+                out.append((None, 0, article) if noise or (not article and _RIGHTS.search(line)) else (line, 0 if linked >= LINK_SHARE * len(line) else len(line), article))
         linked = 0
 
     def pop(to: int) -> None:
         nonlocal noise, article
         del stack[to:]
-        noise, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        noise, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
 
     at = 0
     page = _RAW.sub(" ", page)
@@ -121,12 +132,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             ends = ("p",) if name in _CLOSES_P else ("p", name, *{"dd": ("dt",), "dt": ("dd",), "tr": ("td", "th"), "td": ("th",), "th": ("td",)}.get(name, ()))
             while stack and stack[-1][0] in ends:
                 pop(len(stack) - 1)
-        bad = is_noise(name, attributes, article)
+        bad = is_noise(name, attributes, bool(article))
         if not block and not bad:
             continue  # bold and the like change nothing
         if bad and not noise:
             flush()
-        stack.append((name, noise or bad, article or name in ("article", "main")))
+        stack.append((name, noise or bad, max(article, {"article": 2, "main": 1}.get(name, 0))))
         noise, article = stack[-1][1], stack[-1][2]
         if name in ("article", "main") and not bad:
             out.append((None, 0, article))
@@ -163,15 +174,15 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     lines = lines_of(page)
-    marked = any(a and t for t, _, a in lines)
-    lengths = np.array([n if a or not marked else 0 for _, n, a in lines], np.int64)
+    level = max((a for t, n, a in lines if n), default=0)
+    lengths = np.array([n if a == level or not level else 0 for _, n, a in lines], np.int64)
     if not lengths.any():
         return ""
-    if marked:
+    if level:
         ranges = surges_and_dives(lengths, 1)
     else:
         ranges = surges_and_dives(lengths, SURGE) or surges_and_dives(lengths, distribution(lengths).max())
-    return "\n\n".join(t for a, b in ranges for t, _, inside in lines[a:b] if t and (inside or not marked))
+    return "\n\n".join(t for a, b in ranges for t, _, inside in lines[a:b] if t and (inside == level or not level))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
@@ -181,7 +192,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     give repeated results; an empty table none.
     """
     keep = pages.columns if keep is None else keep
-    picked = pages.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{html_col}`").cast("string").alias("html"))
+    picked = bounded_batches(pages).select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{html_col}`").cast("string").alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

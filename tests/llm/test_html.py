@@ -19,6 +19,9 @@ P1 = "A long paragraph of text that goes on and on, for more than a hundred char
         ("<article><p>a<p>b<ul><li>c<li>d</ul><p hidden>x</p><p style='display:none'>y</p></article>", "a\n\nb\n\nc\n\nd"),
         (f"<div>{P1}</div><div role=complementary>{P1}</div><script>var a='</p><p>'</script><style>p{{}}</style>", P1),
         ('<article><p title="a>b">x < y &lt;b&gt; &#233;&eacute;</p><table><tr><td>1<td>2</table></article>', "x < y <b> éé\n\n1\n\n2"),
+        (f"<main><div class='breadcrumbs'>a b</div><p>{P1}</p><h2>Related</h2><article class='card'></article></main><p>after</p>", f"{P1}\n\nRelated"),
+        (f"<main><p>{P1}</p><article><p>One</p></article></main>", "One"),
+        (f"<div id='header'>Site name</div><div class='post-header'><h1>T</h1></div><p>{P1}</p><ol class='commentlist'><li>{P1}</li></ol><div class='siteFooter'>x</div><p>© 2020 someone</p>", f"T\n\n{P1}"),
         ("<article><p>never closed <b>bold <i>both", "never closed bold both"),
     ],
 )
