@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -14,7 +16,7 @@ U64 = np.uint64
 #: Odd multipliers, so that each has an inverse modulo 2**64.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 #: Bytes of text that are hashed at once; bounds the memory of a Python worker.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 # --- shared storage -------------------------------------------------------------------------------------------------
@@ -34,7 +36,7 @@ def saved(df: DataFrame) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/saved-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
     return out
@@ -49,6 +51,13 @@ def forget(df: DataFrame | None) -> None:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of frames that nothing refers to any more; they would wait for a collection."""
+    gc.collect()
+    time.sleep(1.2)  # the bridge to the JVM drops references once a second
+    spark._jvm.System.gc()
+
+
 # --- columns --------------------------------------------------------------------------------------------------------
 
 
@@ -176,11 +185,30 @@ def in_chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[in
 # --- Arrow ----------------------------------------------------------------------------------------------------------
 
 
+#: Rows and bytes that Spark hands to a Python worker at once, at most: texts are long, and workers have little memory.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """df, once the session's limits of Arrow batches are no higher than BATCH_ROWS and BATCH_BYTES."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def binary(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as UTF-8; null is empty."""
     return [x or b"" for x in column.cast(pa.binary() if not pa.types.is_large_string(column.type) else pa.large_binary()).to_pylist()]
 
 
+def tag(values: np.ndarray) -> pa.Array:
+    """32 bits of each hash, to tell apart what a 64-bit hash of something else may not."""
+    return pa.array((values >> U64(32)).astype(np.uint32).view(np.int32), pa.int32())
+
+
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64), pa.int64())
 

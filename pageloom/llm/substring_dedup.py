@@ -7,11 +7,11 @@ anchors (about one for seven words); only blocks whose anchor occurs again go on
 
 * An occurrence of a block that has an earlier one is repeated as a whole.
 * The first occurrence of a block can repeat windows of another block with the same anchor (where a copied passage
-  begins or ends).  For these blocks alone the windows themselves are counted: each against the first place of all.
+  begins or ends, or was changed).  For these blocks alone the windows themselves are counted: each against the first place of all.
 
 Each decision is the one that counting all windows would give, and there is no limit on how often anything occurs.
-Repeated windows merge into maximal spans of words.  Identity is by two 64-bit hashes of different words (an anchor's and
-a block's or window's), 128 bits together.
+Repeated windows merge into maximal spans of words.  Identity is by two hashes, of an anchor (64
+bits) and of its block or window (32 more).
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEEP, WORD_BASE, Words, binary, in_chunks, int64, list_array, mix, order_key, signed, spans_hash
+from .common import KEEP, WORD_BASE, Words, binary, bounded_batches, forget, in_chunks, int64, list_array, mix, order_key, release, saved, signed, spans_hash, tag
 
 WINDOW = 20
 GRAM = 8
@@ -61,13 +61,14 @@ def blocks_of(words: Words, n: int) -> tuple[np.ndarray, ...]:
     return s, count, a - s, anchor[first], mix(whole + (count.astype(np.uint64) << np.uint64(8)) + (a - s).astype(np.uint64))
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _rows(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
+    """row struct, text, doc, version: version tells texts of one id apart."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return docs.select(order_key(F.col(f"`{id_col}`")).alias("doc"), text.alias("text"))
+    return bounded_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), text.alias("text"), order_key(F.col(f"`{id_col}`")).alias("doc"), F.hash(text).alias("version"))
 
 
 def _blocks(texts: DataFrame, n: int) -> DataFrame:
-    """anchor, block, doc, version (tells texts of one id apart), at (first word * 64 + windows)."""
+    """anchor, block, doc, version, at (first word * 64 + windows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,9 +78,9 @@ def _blocks(texts: DataFrame, n: int) -> DataFrame:
                 words = Words(raw[a:b], KEEP)
                 s, count, _, anchor, block = blocks_of(words, n)
                 t = words.text[s]
-                yield pa.RecordBatch.from_arrays([signed(anchor), signed(block), int64(doc[a:b][t]), int64(version[a:b][t]), int64((s - words.bounds[t]) * 64 + count)], ["anchor", "block", "doc", "version", "at"])
+                yield pa.RecordBatch.from_arrays([signed(anchor), tag(block), int64(doc[a:b][t]), pa.array(version[a:b][t], pa.int32()), int64((s - words.bounds[t]) * 64 + count)], ["anchor", "block", "doc", "version", "at"])
 
-    return texts.select("doc", "text", F.xxhash64("text").alias("version")).mapInArrow(run, "anchor long, block long, doc long, version long, at long")
+    return texts.select("doc", "text", "version").mapInArrow(run, "anchor long, block int, doc long, version int, at long")
 
 
 def _windows(texts: DataFrame, n: int) -> DataFrame:
@@ -87,9 +88,7 @@ def _windows(texts: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = binary(batch.column(1))
-            doc, version = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            chosen = batch.column(3).to_pylist()
+            raw, doc, version, chosen = binary(batch["text"]), batch["doc"].to_numpy(), batch["version"].to_numpy(), batch["blocks"].to_pylist()
             for a, b in in_chunks(raw):
                 words = Words(raw[a:b], KEEP)
                 starts, _, anchor = anchors_of(words, n)
@@ -97,32 +96,42 @@ def _windows(texts: DataFrame, n: int) -> DataFrame:
                 first, count = want >> 6, want & 63
                 s = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
                 t = words.text[s]
-                yield pa.RecordBatch.from_arrays([signed(anchor[np.searchsorted(starts, s)]), signed(words.window_hashes(s, n)), int64(doc[a:b][t]), int64(version[a:b][t]), int64(s - words.bounds[t])], ["anchor", "window", "doc", "version", "start"])
+                yield pa.RecordBatch.from_arrays([signed(anchor[np.searchsorted(starts, s)]), tag(words.window_hashes(s, n)), int64(doc[a:b][t]), pa.array(version[a:b][t], pa.int32()), int64(s - words.bounds[t])], ["anchor", "window", "doc", "version", "start"])
+
+    return texts.mapInArrow(run, "anchor long, window int, doc long, version int, start long")
 
-    return texts.mapInArrow(run, "anchor long, window long, doc long, version long, start long")
 
+def repeated_spans(rows: DataFrame, n: int = WINDOW) -> DataFrame:
+    """doc, version, spans array<struct<start,end>>: spans of words that stand earlier, in order; they can overlap.
 
-def repeated_spans(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, version, spans array<struct<start,end>>: spans of words that stand earlier, in order; they can overlap."""
+    What is joined is written before: so both sides of each join are plain exchanges, whose hot partitions Spark can
+    split, and the shuffle files of each step can go before the next.
+    """
     if not 2 * GRAM <= n <= 63 + GRAM:
         raise ValueError(f"windows have {2 * GRAM} to {63 + GRAM} words")
-    texts = _texts(docs, id_col, text_col)
-    blocks = _blocks(texts, n)
-    again = blocks.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
-    live = blocks.join(again, "anchor", "left_semi")
-    firsts = live.groupBy("anchor", "block").agg(F.min(F.struct("doc", "at", "version")).alias("f"), F.count("*").alias("c"))
+    spark = rows.sparkSession
+    again = saved(_blocks(rows, n).groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"))
+    release(spark)
+    live = saved(_blocks(rows, n).join(again, "anchor", "left_semi"))
+    release(spark)
+    firsts = saved(live.groupBy("anchor", "block").agg(F.min(F.struct("doc", "at", "version")).alias("f"), F.count("*").alias("c")))
     # Blocks that occur again: all but the first occurrence.
     later = live.join(firsts.where("c > 1").select("anchor", "block", "f"), ["anchor", "block"]).where((F.col("doc") > F.col("f.doc")) | ((F.col("doc") == F.col("f.doc")) & (F.shiftright("at", 6) > F.shiftright("f.at", 6))))
     by_block = later.select("doc", "version", F.shiftright("at", 6).alias("start"), (F.shiftright("at", 6) + F.col("at").bitwiseAND(63) - 1 + n).alias("end"))
     # First occurrences among several blocks of one anchor: their windows, one by one.
     several = firsts.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
+    several = saved(several)
     chosen = firsts.join(several, "anchor", "left_semi").select(F.col("f.doc").alias("doc"), F.col("f.version").alias("version"), F.col("f.at").alias("at"))
     chosen = chosen.groupBy("doc", "version").agg(F.sort_array(F.collect_list("at")).alias("blocks"))
-    versions = texts.withColumn("version", F.xxhash64("text"))
-    windows = _windows(versions.join(chosen, ["doc", "version"]).select("doc", "text", "version", "blocks"), n)
-    lead = windows.groupBy("anchor", "window").agg(F.min(F.struct("doc", "start")).alias("f"), F.count("*").alias("c")).where("c > 1").drop("c")
+    windows = saved(_windows(rows.join(chosen, ["doc", "version"]).select("doc", "text", "version", "blocks"), n))
+    release(spark)
+    lead = saved(windows.groupBy("anchor", "window").agg(F.min(F.struct("doc", "start")).alias("f"), F.count("*").alias("c")).where("c > 1").drop("c"))
     by_window = windows.join(lead, ["anchor", "window"]).where((F.col("doc") > F.col("f.doc")) | ((F.col("doc") == F.col("f.doc")) & (F.col("start") > F.col("f.start")))).select("doc", "version", "start", (F.col("start") + n).alias("end"))
-    return by_block.unionAll(by_window).groupBy("doc", "version").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    spans = saved(by_block.unionAll(by_window).groupBy("doc", "version").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")))
+    for done in (again, live, firsts, several, windows, lead):
+        forget(done)
+    release(spark)
+    return spans
 
 
 def _cut(texts: DataFrame) -> DataFrame:
@@ -168,9 +177,7 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id", te
     are judged alike, and none is earlier than the other; different texts of one id are one document by their places.
     """
     keep = docs.columns if keep is None else keep
-    spans = repeated_spans(docs, n, id_col, text_col)
-    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(row, text.alias("text"), order_key(F.col(f"`{id_col}`")).alias("doc"), F.xxhash64(text).alias("version"))
+    rows = _rows(docs, id_col, text_col, keep)
+    spans = repeated_spans(rows, n)
     none = F.array().cast("array<struct<start:long,end:long>>")
     return _cut(rows.join(spans, ["doc", "version"], "left").select("row", "text", F.coalesce("spans", none).alias("spans")))
