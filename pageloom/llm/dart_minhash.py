@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEEP, U64, WORD_BASE, Words, binary, forget, in_chunks, list_array, mix, order_key, saved, signed
+from .common import KEEP, U64, WORD_BASE, Words, binary, bounded_batches, forget, in_chunks, list_array, mix, order_key, saved, signed
 from .components import connected_components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -163,7 +163,8 @@ def _across(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     A bucket's members are dealt to blocks of about BLOCK; each pair of blocks is one group.  Only links that hold leave
     a group, and of these no more than join what it has not joined already.
     """
-    sized = members.join(members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n")), "key")
+    sizes = saved(members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n")))
+    sized = members.join(sizes, "key")
     own = F.pmod(F.xxhash64("text"), F.col("n")).cast("int")
     dealt = sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "text", "component").join(sets, "text")
@@ -197,7 +198,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, n: int = SH
     texts under one id are one document: a link of either is a link of both.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    source = docs.select(order_key(F.col(f"`{id_col}`")).alias("doc"), text.alias("text"))
+    source = bounded_batches(docs).select(order_key(F.col(f"`{id_col}`")).alias("doc"), text.alias("text"))
     sketches = saved(_sketches(source, n, bands, rows))
     texts = saved(sketches.where("p1 <> 0 or p2 <> 0").groupBy("p1", "p2").agg(F.min("doc").alias("text"), F.first("bands").alias("bands")))
     keyed = texts.select("text", F.posexplode("bands").alias("band", "hash")).select("text", F.xxhash64("band", "hash").alias("key"))

@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD_ALNUM, Words, binary, in_chunks, int64, list_array
+from .common import FOLD_ALNUM, Words, binary, bounded_batches, in_chunks, int64, list_array
 
 WINDOW = 13
 #: Benchmark text that is sent to the tasks at once.
 BLOCK_BYTES = 8 << 20
 #: Document text that one shard of the index covers.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 class Phrases:
@@ -43,6 +43,8 @@ class Phrases:
                 found.setdefault(row[i : i + n].tobytes(), []).append(k)
         self.phrases = [np.frombuffer(p, np.int64) for p in found]
         self.owners = [np.unique(k) for k in found.values()]
+        self.begins = np.concatenate(([0], np.cumsum([len(p) for p in self.phrases])))[:-1].astype(np.int64)
+        self.flat = np.concatenate(self.phrases) if self.phrases else np.zeros(0, np.int64)
 
 
 class Index:
@@ -126,7 +128,7 @@ def _search(docs: DataFrame, block: list[tuple[str, bytes]], n: int, slack: int
             for a, b in in_chunks(texts, SHARD_BYTES):
                 index = Index(texts[a:b], phrases.terms)
                 begins, lengths, of_text, of_item = [], [], [], []
-                rare = np.array([index.frequency(p).min() for p in phrases.phrases]) if phrases.phrases else np.zeros(0, np.int64)
+                rare = np.minimum.reduceat(index.frequency(phrases.flat), phrases.begins) if phrases.phrases else np.zeros(0, np.int64)
                 for k in np.flatnonzero(rare):
                     phrase = phrases.phrases[k]
                     at = index.exact(phrase) if slack is None else index.near(phrase, slack)
@@ -186,7 +188,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, slack:
     """
     keep = docs.columns if keep is None else keep
     row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
-    picked = docs.select(row, F.col(f"`{text_col}`").cast("string").alias("text"))
+    picked = bounded_batches(docs).select(row, F.col(f"`{text_col}`").cast("string").alias("text"))
     parts = [_search(picked, block, n, slack) for block in _blocks(benchmark, item_col, item_text_col)]
     if len(parts) == 1:
         return parts[0].withColumn("items", F.array_sort(F.array_distinct("items")))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary
+from .common import binary, bounded_batches
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -169,7 +169,7 @@ def predict(docs: DataFrame, model: ByteCnn | None, text_col: str = "text", keep
     if model is None:
         return docs.select(row, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     inside = text_col in keep and dict(docs.dtypes)[text_col] == "string"  # the text need not be sent twice
-    picked = docs.select(row, told.alias("told"), *([] if inside else [F.col(f"`{text_col}`").cast("string").alias("text")]))
+    picked = bounded_batches(docs).select(row, told.alias("told"), *([] if inside else [F.col(f"`{text_col}`").cast("string").alias("text")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.pair_tables()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEEP, Words, binary, in_chunks, int64, mix
+from .common import KEEP, Words, binary, bounded_batches, in_chunks, int64, mix
 
 GOOD, NOTHING, BAD = 1, 0, -1
 #: Texts that the scorer is fitted on at most.
@@ -209,7 +209,7 @@ def _training(texts: DataFrame) -> DataFrame:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = FIT_ROWS) -> QualityModel:
     """The label model over all texts, and the scorer fitted on a sample of at most rows texts with words."""
     text = F.col(f"`{text_col}`").cast("string")
-    counted = _patterns(docs.where(text.rlike(r"\S")).select(text.alias("text"))).groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
+    counted = _patterns(bounded_batches(docs).where(text.rlike(r"\S")).select(text.alias("text"))).groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
     m = len(LABELLERS)
     labels = LabelModel.fit(np.array([r.pattern for r in counted], np.int64), np.array([r.n for r in counted], np.int64), m)
     total = max(1, sum(r.n for r in counted))
@@ -232,7 +232,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: li
     posterior and score 0.
     """
     keep = docs.columns if keep is None else keep
-    picked = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    picked = bounded_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
