@@ -14,6 +14,7 @@ text are independent, so rows, order and repeated rows don't matter.  Extra colu
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -23,12 +24,18 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_array
+from .common import bounded_batches, list_array
 
 #: Entries that a worker keeps of each kind; beyond it starts anew, so that its memory stays bounded.
 KEPT = 300_000
 #: Bytes of the longest part of a match whose encoding is kept.
 KEPT_BYTES = 32
+#: A pattern in common use and, for texts of nothing but the characters that PLAIN allows, one that splits
+#: them alike and needs no tables of Unicode properties.
+COMMON = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_LETTERS, _MARKS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~¡-©«¬®-±´¶-¸»¿×÷‐-‧‰-⁞€"
+PLAIN = re.compile(rf"[^{_LETTERS}{_MARKS}0-9 \n\r\t]")
+COMMON_PLAIN = re.compile(rf" ?[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_MARKS}]+| ?[0-9]+|\s+(?!\S)|\s+")
 _codecs: dict[tuple[bytes, str], Codec] = {}
 
 
@@ -60,13 +67,16 @@ class Codec:
     def __init__(self, vocabulary: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in vocabulary.splitlines() if x)}
         self.tokens = {b: a for a, b in self.ranks.items()}
-        self.split = regex.compile(pattern).findall
+        self.split_any, self.common = regex.compile(pattern).findall, pattern == COMMON
         self.pairs: dict[tuple[int, int], tuple[int, ...]] = {}
         self.parts: dict[bytes, tuple[int, ...]] = {}
         self.matches = _Matches(self)
 
     # -- encoding
 
+    def split(self, text: str) -> list[str]:
+        return COMMON_PLAIN.findall(text) if self.common and not PLAIN.search(text) else self.split_any(text)
+
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """A short window, merge by merge: always the leftmost of the pairs with the least rank."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -115,7 +125,7 @@ class Codec:
         if n < 2:
             return (self.ranks[piece],) if n else ()
         ids = self.join(self.encode_bytes(piece[: n >> 1]), self.encode_bytes(piece[n >> 1 :]))
-        if n <= KEPT_BYTES // 2:
+        if n <= KEPT_BYTES // 4:
             if len(self.parts) >= KEPT:
                 self.parts.clear()
             self.parts[piece] = ids
@@ -161,7 +171,7 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_
                     decoded.append(c.decode(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), list_array(ends, pa.array(memoryview(flat) if len(flat) else [], pa.int32())), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    picked = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 

@@ -25,6 +25,21 @@ def test_as_the_library(text):
     assert CODEC.decode(ids) == text.encode()
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x250), max_size=60) | st.text(st.sampled_from(list("ab' \t\n\r_-é×²½ªº¿€–…‿\u2009\u2028 01s'trevmld")), max_size=120))
+def test_plain_texts_split_alike(text):
+    assert byte_bpe.COMMON == P.PATTERN
+    assert CODEC.split(text) == CODEC.split_any(text)
+
+
+def test_every_plain_character_is_split_alike():
+    plain = [c for c in map(chr, range(0x3000)) if not byte_bpe.PLAIN.search(c)]
+    for c in plain:
+        for text in (c, f"a{c}", f" {c}{c}1", f"'{c} {c}", f"{c}  {c}\n{c}_"):
+            assert byte_bpe.COMMON_PLAIN.findall(text) == CODEC.split_any(text)
+    assert len(plain) > 500
+
+
 @pytest.mark.parametrize("text", ["", "<|endoftext|>", "a" * 5000, "=" * 3001, " " * 997 + "x", "ab" * 1500, "é" * 800, "\n" * 400, "lorem" * 700])
 def test_long_matches(text):
     assert list(CODEC.encode(text)) == LIBRARY.encode_ordinary(text)
