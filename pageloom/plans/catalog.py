@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import patterns as p
 from ..functions import text as t
 from ..functions import titles
+from ..functions.wrap import wrap
 from ..operators import documents, forms, grouping, legacy, signals
+from ..sources import ocr
 from . import inputs
 from . import sql as s
 
@@ -177,12 +179,23 @@ def pdf_discovery(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("page_id", F.col("path").endswith(".pdf").alias("in_folder_scan"), t.output_name(F.col("path"), "json").alias("output_name"), t.blob_target(F.col("path"), F.lit("part.pdf")).alias("blob"))
 
 
+def wrapped_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return inputs.read(spark, folder, "documents").select("doc_id", F.array_join(wrap(F.substring(F.coalesce("text", F.lit("")), 1, 400), 24), "|").alias("lines"))
+
+
+def largest_image(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of an order stand for the images of a page."""
+    line = "(CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey) * 1000000 + l_suppkey"
+    images = inputs.read(spark, folder, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_quantity").cast("int").alias("width"), (F.col("l_suppkey") % 7).alias("height"), F.expr(line).alias("image_no"))
+    return ocr.largest_image(images, "page").select("page", "image.width", "image.height", "image.image_no")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         page_lines, strip_len_route, doc_marker_pages, page_n_of_m, meaningful_lines, marker_titles, text_page_signals, group_pages, group_summary, split_manifest, legacy_starts, legacy_segments,
         ocr_flatten, ocr_best_title, image_page_signals, sanitize_filename, sanitize_title, title_case, whole_documents, first_page_with, document_json, metadata, form_types, routeone_fields,
-        dealertrack_fields, unique_phones, credit_app_records, opt_in_sheet, vision_requests, credit_app_selection, pdf_discovery,
+        dealertrack_fields, unique_phones, credit_app_records, opt_in_sheet, vision_requests, credit_app_selection, pdf_discovery, wrapped_lines, largest_image,
     )
 }
 QUERIES |= {"title_first": _title(False), "title_last": _title(True)}

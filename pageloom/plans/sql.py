@@ -194,4 +194,6 @@ ORACLE_SQL: dict[str, str] = {
     "vision_requests": q(FORMS, f"k AS (SELECT *, {KIND} AS kind FROM forms)", "SELECT source_file, CASE WHEN kind <> 'unknown' AND text_heavy THEN checkbox_page END AS page FROM k WHERE kind = 'unknown' OR NOT text_heavy OR (kind = 'dealertrack' AND checkbox_page IS NOT NULL)"),
     "credit_app_selection": q(PAGES, LINED, MARKED, FOOT, TEXT_SIGNALS, grouped("sig"), "SELECT pdf_id, group_no FROM made WHERE file_name = 'Credit_Application.pdf'"),
     "pdf_discovery": q(f"f AS (SELECT page_id, {_PATH} AS path FROM pages)", f"SELECT page_id, ends_with(path, '.pdf') AS in_folder_scan, {_STEM} || '.json' AS output_name, {_STEM} || '/part.pdf' AS blob FROM f WHERE ends_with(lower(path), '.pdf')"),
+    "wrapped_lines": "SELECT doc_id, coalesce(replace(list_reduce(w, lambda a, x: a || CASE WHEN length(split_part(a, chr(10), -1)) + 1 + length(x) <= 24 THEN ' ' ELSE chr(10) END || x), chr(10), '|'), '') AS lines FROM (SELECT doc_id, CASE WHEN len(w) > 0 THEN w END AS w FROM (SELECT doc_id, list_filter(string_split(substr(coalesce(text, ''), 1, 400), ' '), lambda y: y <> '') AS w FROM documents))",
+    "largest_image": "SELECT l_orderkey AS page, CAST(l_quantity AS INT) AS width, l_suppkey % 7 AS height, (CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey) * 1000000 + l_suppkey AS image_no FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(l_quantity AS INT) * (l_suppkey % 7) DESC, (CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey) * 1000000 + l_suppkey) AS k FROM lineitem) WHERE k = 1",
 }

@@ -6,7 +6,7 @@ from helpers import DATA
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, HERE)
-os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (HERE, os.environ.get("PYTHONPATH")) if x)
+os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (HERE, f"{HERE}/tests", os.environ.get("PYTHONPATH")) if x)
 
 
 @pytest.fixture(scope="session")
