@@ -26,7 +26,7 @@ def discover(spark: SparkSession, path: str, recursive: bool = False) -> DataFra
         if not path.lower().endswith(".pdf"):
             raise ValueError(f"not a PDF: {path}")
     else:
-        reader = reader.option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", str(recursive).lower())
+        reader = reader.option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true")  # else folders of folders are taken for partitions
     found = reader.load(path).select("path", "length")
     if not recursive:
         found = found.where(F.regexp_count(F.col("path"), F.lit("/")) <= F.lit(fs.makeQualified(place).toString().rstrip("/").count("/") + 1))
