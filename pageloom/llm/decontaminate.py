@@ -1,13 +1,14 @@
 """Benchmark decontamination with a positional inverted index that is distributed by documents.
 
-Each task keeps the postings of its own documents: for each term of the benchmark the sorted places (word numbers over
-all documents of a shard) where it stands.  A phrase is looked up from its rarest term in the shard: that list, less the
-term's offset in the phrase, is intersected with the next rarest's list, less its offset, and so on until none is left
-or all terms agree.  What is left are exactly the places where the phrase stands, as every term has been intersected.
-A proximity query intersects the same lists with a tolerance.  A document lies in one shard, so nothing is shuffled.
-
-The benchmark goes to every task, in blocks of at most BLOCK_BYTES of text; a larger one is worked off block by block
-and the hits are merged for each document.
+A shard of the index covers about a megabyte of documents: for each of their terms the sorted places (word numbers over
+the shard) where it stands.  A phrase is looked up from its rarest term in the shard: that list, less the term's offset
+in the phrase, is intersected with the next rarest's list, less its offset, and so on until none is left or all terms
+agree.  What is left are exactly the places where the phrase stands, as every term has been intersected.  A proximity
+query intersects the same lists with a tolerance.  A document lies in one shard, so nothing is shuffled.
+
+build_index() gives the postings as a table, which can be stored and searched again; decontaminate() stores it where it
+is asked to, or where the benchmark needs several passes: the benchmark goes to every task, in blocks of at most
+BLOCK_BYTES of text, and the hits of several blocks are merged for each document.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD_ALNUM, Words, binary, bounded_batches, in_chunks, int64, list_array
+from .common import FOLD_ALNUM, Words, binary, bounded_batches, in_chunks, int64, list_array, saved
 
 WINDOW = 13
 #: Benchmark text that is sent to the tasks at once.
@@ -48,28 +49,43 @@ class Phrases:
 
 
 class Index:
-    """Postings of the terms of some phrases in one shard."""
+    """Postings of all terms in one shard."""
 
-    def __init__(self, texts: list[bytes], terms: np.ndarray):
+    COLUMNS = ("counts", "terms", "starts", "places")
+
+    def __init__(self, counts: np.ndarray, terms: np.ndarray, starts: np.ndarray, places: np.ndarray):
+        self.counts, self.terms, self.starts, self.places = counts, terms, starts, places
+        self.size, self.bounds = len(places), np.concatenate(([0], np.cumsum(counts)))
+        self.text = np.repeat(np.arange(len(counts)), counts)
+        self.ends = np.append(starts, starts[-1])  # as if one more term stood nowhere
+
+    @classmethod
+    def build(cls, texts: list[bytes]) -> Index:
         words = Words(texts, FOLD_ALNUM)
-        self.bounds, self.counts, self.size = words.bounds, words.counts, len(words.hashes)
-        if len(terms):
-            at = np.searchsorted(terms, words.hashes)
-            at[at == len(terms)] = 0
-            known = np.flatnonzero(terms[at] == words.hashes)
-        else:
-            at, known = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        ids = at[known]
-        order = np.argsort(ids, kind="stable")
-        self.places = known[order]
-        self.starts = np.searchsorted(ids[order], np.arange(len(terms) + 1))
-        self.text = words.text
-
-    def frequency(self, phrase: np.ndarray) -> np.ndarray:
-        return self.starts[phrase + 1] - self.starts[phrase]
-
-    def postings(self, term: int) -> np.ndarray:
-        return self.places[self.starts[term] : self.starts[term + 1]]
+        places = np.argsort(words.hashes, kind="stable").astype(np.int32)
+        ordered = words.hashes[places]
+        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+        return cls(words.counts.astype(np.int64), ordered[starts], np.append(starts, len(places)), places)
+
+    def to_bytes(self) -> list[bytes]:
+        return [getattr(self, c).tobytes() for c in self.COLUMNS]
+
+    @classmethod
+    def from_bytes(cls, counts: bytes, terms: bytes, starts: bytes, places: bytes) -> Index:
+        return cls(np.frombuffer(counts, np.int64), np.frombuffer(terms, np.uint64), np.frombuffer(starts, np.int64), np.frombuffer(places, np.int32))
+
+    def numbers(self, terms: np.ndarray) -> np.ndarray:
+        """The numbers of some terms here; of those that do not occur, one past the last, which has no postings."""
+        at = np.searchsorted(self.terms, terms)
+        found = at < len(self.terms)
+        found[found] = self.terms[at[found]] == terms[found]
+        return np.where(found, at, len(self.terms))
+
+    def frequency(self, numbers: np.ndarray) -> np.ndarray:
+        return self.ends[numbers + 1] - self.ends[numbers]
+
+    def postings(self, number: int) -> np.ndarray:
+        return self.places[self.starts[number] : self.starts[number + 1]].astype(np.int64)
 
     def exact(self, phrase: np.ndarray) -> np.ndarray:
         """Places where the phrase starts, all its words in one text."""
@@ -117,51 +133,77 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list
     yield block
 
 
-def _search(docs: DataFrame, block: list[tuple[str, bytes]], n: int, slack: int | None) -> DataFrame:
-    """row struct, n_words, hits array<struct<start,end>> (disjoint, in order), items array<string>."""
+def _found(index: Index, phrases: Phrases, slack: int | None) -> tuple[pa.Array, pa.Array]:
+    """Of each text of a shard: hits, disjoint and in order, and the items."""
+    numbers = index.numbers(phrases.terms)
+    begins, lengths, of_text, of_item = [], [], [], []
+    rare = np.minimum.reduceat(index.frequency(numbers)[phrases.flat], phrases.begins) if phrases.phrases else np.zeros(0, np.int64)
+    for k in np.flatnonzero(rare):
+        phrase, owners = numbers[phrases.phrases[k]], phrases.owners[k]
+        at = index.exact(phrase) if slack is None else index.near(phrase, slack)
+        if len(at):
+            begins.append(at)
+            lengths.append(np.full(len(at), len(phrase) if slack is None else 1))
+            of_text.append(np.repeat(index.text[at], len(owners)))
+            of_item.append(np.tile(owners, len(at)))
+    edges = np.zeros(index.size + 1, np.int64)
+    if begins:
+        s, w = np.concatenate(begins), np.concatenate(lengths)
+        np.add.at(edges, s, 1)
+        np.add.at(edges, s + w, -1)
+    hit = np.cumsum(edges[:-1]) > 0
+    first = np.zeros(index.size + 1, bool)
+    first[index.bounds] = True  # runs of hit words are cut where texts end
+    start = np.flatnonzero(hit & (~np.concatenate(([False], hit[:-1])) | first[:-1]))
+    end = np.flatnonzero(hit & (~np.concatenate((hit[1:], [False])) | first[1:])) + 1
+    owner, n = index.text[start], len(index.counts)
+    spans = pa.StructArray.from_arrays([int64(start - index.bounds[owner]), int64(end - index.bounds[owner])], ["start", "end"])
+    pairs = np.unique(np.stack([np.concatenate(of_text), np.concatenate(of_item)], 1), axis=0) if begins else np.zeros((0, 2), np.int64)
+    ends = lambda x: np.concatenate(([0], np.cumsum(np.bincount(x, minlength=n)))) if n else np.zeros(1)
+    return list_array(ends(owner), spans), list_array(ends(pairs[:, 0]), pa.array(phrases.items, pa.string()).take(pa.array(pairs[:, 1])))
+
+
+_FOUND = "n_words long, hits array<struct<start:long,end:long>>, items array<string>"
+
+
+def build_index(picked: DataFrame) -> DataFrame:
+    """The index of a table of row (struct) and text: rows array, and the postings of these rows' texts; a row a shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = binary(batch.column(1))
+            for a, b in in_chunks(texts, SHARD_BYTES):
+                rows = list_array(np.array([0, b - a]), batch.column(0).slice(a, b - a))
+                yield pa.RecordBatch.from_arrays([rows, *[pa.array([x], pa.binary()) for x in Index.build(texts[a:b]).to_bytes()]], ["rows", *Index.COLUMNS])
+
+    return picked.mapInArrow(run, f"rows array<{picked.schema['row'].dataType.simpleString()}>, " + ", ".join(f"{c} binary" for c in Index.COLUMNS))
+
+
+def search_index(index: DataFrame, block: list[tuple[str, bytes]], n: int = WINDOW, slack: int | None = None) -> DataFrame:
+    """row, n_words, hits, items of every row of an index."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = Phrases(block, n)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shard = Index.from_bytes(*[batch[c][i].as_py() for c in Index.COLUMNS])
+                yield pa.RecordBatch.from_arrays([batch["rows"].slice(i, 1).flatten(), int64(shard.counts), *_found(shard, phrases, slack)], ["row", "n_words", "hits", "items"])
+
+    return index.mapInArrow(run, f"row {index.schema['rows'].dataType.elementType.simpleString()}, {_FOUND}")
+
+
+def _search_once(picked: DataFrame, block: list[tuple[str, bytes]], n: int, slack: int | None) -> DataFrame:
+    """build_index() and search_index() in one task, the shard kept in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(block, n)
-        names = pa.array(phrases.items, pa.string())
         for batch in batches:
             texts = binary(batch.column(1))
             for a, b in in_chunks(texts, SHARD_BYTES):
-                index = Index(texts[a:b], phrases.terms)
-                begins, lengths, of_text, of_item = [], [], [], []
-                rare = np.minimum.reduceat(index.frequency(phrases.flat), phrases.begins) if phrases.phrases else np.zeros(0, np.int64)
-                for k in np.flatnonzero(rare):
-                    phrase = phrases.phrases[k]
-                    at = index.exact(phrase) if slack is None else index.near(phrase, slack)
-                    if len(at):
-                        begins.append(at)
-                        lengths.append(np.full(len(at), len(phrase) if slack is None else 1))
-                        owners = phrases.owners[k]
-                        of_text.append(np.repeat(index.text[at], len(owners)))
-                        of_item.append(np.tile(owners, len(at)))
-                edges = np.zeros(index.size + 1, np.int64)
-                if begins:
-                    s, w = np.concatenate(begins), np.concatenate(lengths)
-                    np.add.at(edges, s, 1)
-                    np.add.at(edges, s + w, -1)
-                hit = np.cumsum(edges[:-1]) > 0
-                # Runs of hit words, cut where texts end.
-                first = np.zeros(index.size + 1, bool)
-                first[index.bounds[:-1]] = True
-                before = np.concatenate(([False], hit[:-1]))
-                start = np.flatnonzero(hit & (~before | first[:-1]))
-                after, last = np.concatenate((hit[1:], [False])), np.concatenate((first[1:-1], [True]))[: index.size] if index.size else first[:0]
-                end = np.flatnonzero(hit & (~after | last)) + 1
-                owner = index.text[start]
-                counts = np.bincount(owner, minlength=b - a) if len(owner) else np.zeros(b - a, np.int64)
-                spans = pa.StructArray.from_arrays([int64(start - index.bounds[owner]), int64(end - index.bounds[owner])], ["start", "end"])
-                pairs = np.unique(np.stack([np.concatenate(of_text), np.concatenate(of_item)], 1), axis=0) if begins else np.zeros((0, 2), np.int64)
-                n_items = np.bincount(pairs[:, 0], minlength=b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), int64(index.counts), list_array(np.concatenate(([0], np.cumsum(counts))), spans), list_array(np.concatenate(([0], np.cumsum(n_items))), names.take(pa.array(pairs[:, 1])))],
-                    ["row", "n_words", "hits", "items"],
-                )
-
-    return docs.mapInArrow(run, f"row {docs.schema['row'].dataType.simpleString()}, n_words long, hits array<struct<start:long,end:long>>, items array<string>")
+                shard = Index.build(texts[a:b])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), int64(shard.counts), *_found(shard, phrases, slack)], ["row", "n_words", "hits", "items"])
+
+    return picked.mapInArrow(run, f"row {picked.schema['row'].dataType.simpleString()}, {_FOUND}")
 
 
 def _merge(hits: F.Column) -> F.Column:
@@ -176,8 +218,9 @@ def _merge(hits: F.Column) -> F.Column:
     return F.aggregate(F.array_sort(hits), zero, add)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, slack: int | None = None, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """row struct (docs' columns, or those in keep), n_words, hits, items: for each row of docs.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, slack: int | None = None, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, store: bool = False) -> DataFrame:
+    """row struct (docs' columns, or those in keep), n_words, hits, items: for each row of docs.  store: the postings are
+    written to the shared folder and searched there.
 
     hits: spans of word numbers inside any occurrence of a window of n words of an item (an item of fewer words, but not
     none, is one window); items: the ids, as texts, of items with such windows, distinct, sorted as strings.  With slack,
@@ -189,7 +232,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, slack:
     keep = docs.columns if keep is None else keep
     row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
     picked = bounded_batches(docs).select(row, F.col(f"`{text_col}`").cast("string").alias("text"))
-    parts = [_search(picked, block, n, slack) for block in _blocks(benchmark, item_col, item_text_col)]
+    blocks = _blocks(benchmark, item_col, item_text_col)
+    block, more = next(blocks), next(blocks, None)
+    if more is None and not store:
+        parts = [_search_once(picked, block, n, slack)]
+    else:
+        index = saved(build_index(picked))
+        parts = [search_index(index, x, n, slack) for x in (block, *([] if more is None else [more, *blocks]))]
     if len(parts) == 1:
         return parts[0].withColumn("items", F.array_sort(F.array_distinct("items")))
     # Rows are told apart by their values; copies of a row are counted and come back as often.

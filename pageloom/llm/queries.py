@@ -29,7 +29,7 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    out = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"])
+    out = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"], store=True)
     n_hit = decontaminate.n_hit(F.col("hits"))
     return out.select(
         "row.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
@@ -94,6 +94,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+lead AS (SELECT s, min(CAST(doc_id AS HUGEINT) * 1000000000 + i) AS f FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM win JOIN lead USING (s) WHERE CAST(doc_id AS HUGEINT) * 1000000000 + i > f),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op2_decontamination": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+target AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+size AS (SELECT DISTINCT n FROM target),
+win AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, size)),
+found AS (SELECT doc_id, n, i, item_id FROM win JOIN target USING (n, s)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+item AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS t FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(t, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
+""",
     # The pages hold no canonical links or redirects; edges between different addresses are tested on fixtures.
     "op3_url_filter": r"""
 WITH cut AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -111,6 +132,16 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS
   FROM x q JOIN x c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+""",
+    "op9_near_dedup": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s, count(*) AS n FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0) GROUP BY ALL),
+total AS (SELECT doc_id, sum(n) AS t FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN total x ON x.doc_id = a JOIN total y ON y.doc_id = b WHERE c / (x.t + y.t - c) >= 0.8),
+pair AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM pair UNION SELECT r.a, e.b FROM reach r JOIN pair e ON r.b = e.a)
+SELECT doc_id, least(doc_id, coalesce(min(b), doc_id)) AS class_id FROM documents LEFT JOIN reach ON a = doc_id GROUP BY doc_id
 """,
     "op10_sharding": f"""
 WITH place AS (SELECT [{", ".join(map(str, sharding.lookup_table(SHARDS, SLOTS)))}] AS owners),
