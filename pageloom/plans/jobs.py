@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions.text import blob_target
-from ..operators import documents, forms, grouping, signals
+from ..operators import documents, forms, grouping, legacy, signals
 from ..sources import backends, files, sinks
 
 Parse = Callable[[bytes], Iterator[tuple[int, str]]]
@@ -56,6 +56,25 @@ def split(spark: SparkSession, paths: list[str] | str, write, parse: Parse = bac
     return out.withColumn("blob", blob_target(F.col("pdf_id"), F.col("file_name")))
 
 
+def split_by_markers(spark: SparkSession, paths: list[str] | str, write, parse: Parse = backends.parse_pdf) -> DataFrame:
+    """The older way of splitting, by document markers; an error if no PDF has a document with text."""
+    contents = spark.read.format("binaryFile").load(paths).select("path", "content")
+    found = legacy.require_segments(legacy.segments(files.read_pages(contents, parse)))
+    made = found.withColumn("page_idxs", F.sequence("start_page", F.col("end_page") - 1))
+    return sinks.write_splits(made, contents.withColumnRenamed("path", "pdf_id"), write)
+
+
+def split_records(spark: SparkSession, paths: list[str] | str, parse: Parse = backends.parse_pdf, read_strip=None, vision: DataFrame | None = None) -> DataFrame:
+    """Records of the credit applications that PDFs would be split into, from their pages: nothing is written or read
+    twice.  source_file is where the document goes; vision answers are named by it."""
+    contents = spark.read.format("binaryFile").load(paths).select("path", "content")
+    pages = files.read_pages(contents, parse)
+    chosen = forms.credit_applications(grouping.manifest(page_signals(pages, read_strip))).select("pdf_id", "file_name", F.explode("page_idxs").alias("page_idx"))
+    text = pages.select("pdf_id", "page_idx", F.col("raw_text").alias("text"))
+    whole = chosen.join(text, ["pdf_id", "page_idx"]).groupBy("pdf_id", "file_name").agg(_checkbox_page(), *_text_columns())
+    return forms.extract(whole.select(blob_target(F.col("pdf_id"), F.col("file_name")).alias("source_file"), "text", "text_heavy", "checkbox_page"), vision)
+
+
 def read_forms(contents: DataFrame, parse: Parse = backends.parse_pdf, vision: DataFrame | None = None) -> DataFrame:
     """One record for each form (path, content), an error's where it can't be parsed: the others go on."""
 
@@ -72,12 +91,16 @@ def read_forms(contents: DataFrame, parse: Parse = backends.parse_pdf, vision: D
             yield pd.DataFrame(rows, columns=["pdf_id", "page_idx", "text", "error"])
 
     pages = contents.select("path", "content").mapInPandas(run, "pdf_id string, page_idx int, text string, error string")
-    whole = pages.groupBy("pdf_id").agg(F.max("error").alias("error"), F.min(F.when(F.contains("text", F.lit(p.CHECKBOX_TEXT)), F.col("page_idx"))).alias("checkbox_page"), *_text_columns())
+    whole = pages.groupBy("pdf_id").agg(F.max("error").alias("error"), _checkbox_page(), *_text_columns())
     good = whole.where("error is null").select(F.col("pdf_id").alias("source_file"), "text", "text_heavy", "checkbox_page")
     bad = whole.where("error is not null").select(forms.error_record(F.col("pdf_id")).alias("r")).select("r.*")
     return forms.extract(good, vision).unionByName(bad)
 
 
+def _checkbox_page():
+    return F.min(F.when(F.contains("text", F.lit(p.CHECKBOX_TEXT)), F.col("page_idx"))).alias("checkbox_page")
+
+
 def _text_columns() -> list:
     texts = F.transform(F.array_sort(F.collect_list(F.struct("page_idx", F.coalesce("text", F.lit("")).alias("t")))), lambda x: x["t"])
     heavy = F.sum(F.length(F.coalesce("text", F.lit("")))) >= p.TEXT_PAGE_CHARS * F.count("*")
@@ -102,4 +125,4 @@ def blob_jobs(spark: SparkSession, root: str, name: str) -> list[str]:
     return found
 
 
-__all__ = ["blob_jobs", "extract", "forms_to_sheet", "page_signals", "read_forms", "result_name", "split"]
+__all__ = ["blob_jobs", "extract", "forms_to_sheet", "page_signals", "read_forms", "result_name", "split", "split_by_markers", "split_records"]

@@ -48,8 +48,17 @@ def test_split(spark, folder, capsys):
     seen = lambda pdf, name, content, pages: f"{name}:{pages}"
     assert cli.main([str(folder / "in" / "a.pdf"), "--split-documents"], parse, seen) == 0
     assert capsys.readouterr().out.splitlines() == ["[1] -> Applicable_Law.pdf", "[2] -> Credit_Application (2).pdf", "[3] -> Credit_Application.pdf"]
-    assert cli.main(["*", "--split-documents", "--store", str(folder / "in")], parse, seen) == 0
-    assert "a/Applicable_Law.pdf" in capsys.readouterr().out
+    assert cli.main(["*", "--split-documents", "--store", str(folder / "in"), "--split-output-dir", str(folder / "out")], parse, seen) == 0
+    said = capsys.readouterr().out
+    assert "a/Applicable_Law.pdf" in said and "Opt-in results (1 record(s))" in said
+
+
+def test_split_records_and_markers(spark, folder):
+    path = str(folder / "in" / "a.pdf")
+    got = jobs.split_records(spark, path, parse).collect()
+    assert [(r.source_file, r.form_type, r.opt_in_status) for r in got] == [("a/Credit_Application.pdf", "dealertrack", "not_found")]
+    made = jobs.split_by_markers(spark, path, lambda pdf, name, content, pages: f"{name}:{pages}", parse)
+    assert [r.written for r in made.collect()] == ["Applicable Law.pdf:[0, 1, 2, 3]"]
 
 
 @pytest.mark.parametrize("argv", [["{f}/none"], ["{f}/in/sub/../../forms/x/none.pdf"], ["{f}/in", "--store", "x"], ["{f}/forms", "--split-documents", "--recursive"], ["*", "--split-documents", "--store", "{f}/empty"], ["{f}", "--format", "xml"]])
