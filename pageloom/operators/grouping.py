@@ -9,25 +9,58 @@ from ..functions.text import sanitize_title
 from ..functions.titles import fallback_name, numbered
 
 
-def with_groups(signals: DataFrame, pdf: str = "pdf_id", page: str = "page_idx") -> DataFrame:
+def _start(first: Column, before: Column, anchored: Column) -> Column:
+    """Whether a page begins a document: before is the total of the page before it, if that was settled."""
+    return (
+        F.when(first, 1)
+        .when(F.col("classification") == "NEW_DOC", F.coalesce(anchored, F.lit(False)).cast("int"))
+        .when(F.col("classification") == "CONTINUATION", F.coalesce((before != F.col("total_pages_in_doc")).cast("int"), F.lit(0)))
+        .otherwise(0)
+    )
+
+
+def _settled() -> Column:
+    return F.col("classification") != "AMBIGUOUS"
+
+
+def with_groups(signals: DataFrame, pdf: str = "pdf_id", page: str = "page_idx", block: int | None = None) -> DataFrame:
     """signals with group_no, from 1 in each PDF.
 
     A new document begins at a first page if any page before it was settled, and at a continuation whose total differs
     from that of the page just before.  One exchange and one sort by PDF serve all windows.
+
+    With block, a PDF is cut into ranges of so many page numbers, which are windows of their own; what each range needs
+    of those before it comes from a row for each range.  For keys that hold more pages than one task should.
     """
+    if block:
+        return _with_groups_by_block(signals, pdf, page, block)
     w = Window.partitionBy(pdf).orderBy(page)
-    settled = F.col("classification") != "AMBIGUOUS"
-    before = F.lag(F.when(settled, F.col("total_pages_in_doc"))).over(w)
-    anchored = F.coalesce(F.max(settled).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
-    start = (
-        F.when(F.row_number().over(w) == 1, 1)
-        .when(F.col("classification") == "NEW_DOC", anchored.cast("int"))
-        .when(F.col("classification") == "CONTINUATION", F.coalesce((before != F.col("total_pages_in_doc")).cast("int"), F.lit(0)))
-        .otherwise(0)
-    )
+    before = F.lag(F.when(_settled(), F.col("total_pages_in_doc"))).over(w)
+    anchored = F.max(_settled()).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    start = _start(F.row_number().over(w) == 1, before, anchored)
     return signals.withColumn("is_start", start).withColumn("group_no", F.sum("is_start").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("is_start")
 
 
+def _with_groups_by_block(signals: DataFrame, pdf: str, page: str, block: int) -> DataFrame:
+    cut = signals.withColumn("_block", F.floor(F.col(page) / block))
+    within, across = Window.partitionBy(pdf, "_block").orderBy(page), Window.partitionBy("_pdf").orderBy("_nth")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    total = F.when(_settled(), F.col("total_pages_in_doc"))
+
+    def join(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+        return rows.join(blocks, rows[pdf].eqNullSafe(blocks["_pdf"]) & (rows["_block"] == blocks["_nth"])).drop("_pdf", "_nth")
+
+    ends = cut.groupBy(F.col(pdf).alias("_pdf"), F.col("_block").alias("_nth")).agg(F.max_by(F.struct(total.alias("t")), page).alias("last"), F.max(_settled()).alias("any"))
+    ends = ends.select("_pdf", "_nth", (F.row_number().over(across) == 1).alias("_opens"), F.lag("last.t").over(across).alias("_left"), F.max("any").over(earlier).alias("_any"))
+    rows = cut.withColumns({"_top": F.row_number().over(within) == 1, "_lag": F.lag(total).over(within), "_seen": F.max(_settled()).over(within.rowsBetween(Window.unboundedPreceding, -1))})
+    told = join(rows, ends)
+    told = told.withColumn("is_start", _start(F.col("_top") & F.col("_opens"), F.when(F.col("_top"), F.col("_left")).otherwise(F.col("_lag")), F.coalesce("_any", F.lit(False)) | F.coalesce("_seen", F.lit(False))))
+    sums = told.groupBy(F.col(pdf).alias("_pdf"), F.col("_block").alias("_nth")).agg(F.sum("is_start").alias("n"))
+    sums = sums.select("_pdf", "_nth", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_offset"))
+    group = (F.col("_offset") + F.sum("is_start").over(within.rowsBetween(Window.unboundedPreceding, 0))).cast("int")
+    return join(told, sums).withColumn("group_no", group).select(*signals.columns, "group_no")
+
+
 def summarise(grouped: DataFrame, pdf: str = "pdf_id", page: str = "page_idx") -> DataFrame:
     """One row for each group: its pages in order, first and last from 1, and the first title that is not empty."""
     title = F.min_by("title_text", F.when(F.col("title_text") != "", F.col(page)))

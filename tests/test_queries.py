@@ -28,3 +28,14 @@ def test_grouping_needs_one_exchange(spark):
 def test_scan_reads_only_what_is_asked(spark):
     plan = QUERIES["group_pages"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan and "value" not in plan
+
+
+def test_groups_by_block_are_the_same(spark):
+    from pageloom.operators.grouping import with_groups
+    from pageloom.plans import inputs
+
+    one = inputs.signals(spark, DATA)
+    df = one.withColumn("pdf_id", one.pdf_id % 3).unionByName(one.where("event_id < 500").selectExpr("CAST(NULL AS BIGINT) AS pdf_id", *one.columns[1:]))
+    want = sorted(map(repr, with_groups(df).collect()))
+    for block in (7, 1000, 10**9):
+        assert sorted(map(repr, with_groups(df, block=block).collect())) == want
