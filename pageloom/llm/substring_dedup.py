@@ -107,8 +107,8 @@ def repeated_spans(rows: DataFrame, n: int = WINDOW) -> DataFrame:
     What is joined is written before: so both sides of each join are plain exchanges, whose hot partitions Spark can
     split, and the shuffle files of each step can go before the next.
     """
-    if not 2 * GRAM <= n <= 63 + GRAM:
-        raise ValueError(f"windows have {2 * GRAM} to {63 + GRAM} words")
+    if not 2 * GRAM <= n <= 62 + GRAM:  # a block's number of windows has six bits
+        raise ValueError(f"windows have {2 * GRAM} to {62 + GRAM} words")
     spark = rows.sparkSession
     again = saved(_blocks(rows, n).groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"))
     release(spark)
