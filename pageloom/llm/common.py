@@ -204,11 +204,6 @@ def binary(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary() if not pa.types.is_large_string(column.type) else pa.large_binary()).to_pylist()]
 
 
-def tag(values: np.ndarray) -> pa.Array:
-    """32 bits of each hash, to tell apart what a 64-bit hash of something else may not."""
-    return pa.array((values >> U64(32)).astype(np.uint32).view(np.int32), pa.int32())
-
-
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64), pa.int64())
 

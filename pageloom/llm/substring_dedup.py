@@ -11,7 +11,7 @@ anchors (about one for seven words); only blocks whose anchor occurs again go on
 
 Each decision is the one that counting all windows would give, and there is no limit on how often anything occurs.
 Repeated windows merge into maximal spans of words.  Identity is by two hashes, of an anchor (64
-bits) and of its block or window (32 more).
+bits) and of its block or window (64 more, which alone tell contents apart under one anchor).
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEEP, WORD_BASE, Words, binary, bounded_batches, forget, in_chunks, int64, list_array, mix, order_key, release, saved, signed, spans_hash, tag
+from .common import KEEP, WORD_BASE, Words, binary, bounded_batches, forget, in_chunks, int64, list_array, mix, order_key, release, saved, signed, spans_hash
 
 WINDOW = 20
 GRAM = 8
@@ -78,9 +78,9 @@ def _blocks(texts: DataFrame, n: int) -> DataFrame:
                 words = Words(raw[a:b], KEEP)
                 s, count, _, anchor, block = blocks_of(words, n)
                 t = words.text[s]
-                yield pa.RecordBatch.from_arrays([signed(anchor), tag(block), int64(doc[a:b][t]), pa.array(version[a:b][t], pa.int32()), int64((s - words.bounds[t]) * 64 + count)], ["anchor", "block", "doc", "version", "at"])
+                yield pa.RecordBatch.from_arrays([signed(anchor), signed(block), int64(doc[a:b][t]), pa.array(version[a:b][t], pa.int32()), int64((s - words.bounds[t]) * 64 + count)], ["anchor", "block", "doc", "version", "at"])
 
-    return texts.select("doc", "text", "version").mapInArrow(run, "anchor long, block int, doc long, version int, at long")
+    return texts.select("doc", "text", "version").mapInArrow(run, "anchor long, block long, doc long, version int, at long")
 
 
 def _windows(texts: DataFrame, n: int) -> DataFrame:
@@ -96,9 +96,9 @@ def _windows(texts: DataFrame, n: int) -> DataFrame:
                 first, count = want >> 6, want & 63
                 s = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
                 t = words.text[s]
-                yield pa.RecordBatch.from_arrays([signed(anchor[np.searchsorted(starts, s)]), tag(words.window_hashes(s, n)), int64(doc[a:b][t]), pa.array(version[a:b][t], pa.int32()), int64(s - words.bounds[t])], ["anchor", "window", "doc", "version", "start"])
+                yield pa.RecordBatch.from_arrays([signed(anchor[np.searchsorted(starts, s)]), signed(words.window_hashes(s, n)), int64(doc[a:b][t]), pa.array(version[a:b][t], pa.int32()), int64(s - words.bounds[t])], ["anchor", "window", "doc", "version", "start"])
 
-    return texts.mapInArrow(run, "anchor long, window int, doc long, version int, start long")
+    return texts.mapInArrow(run, "anchor long, window long, doc long, version int, start long")
 
 
 def repeated_spans(rows: DataFrame, n: int = WINDOW) -> DataFrame:

@@ -50,6 +50,24 @@ def test_spans_are_maximal_and_in_order(docs):
     assert got == {1: [], 2: [(1, 31), (32, 62)]}
 
 
+def test_contents_whose_hashes_agree_in_32_bits_are_not_taken_for_copies(docs):
+    hot = " ".join(f"h294130x{i}" for i in range(8))  # the anchor of all windows below
+
+    def around(before, after):
+        return " ".join([*(f"a{x}" for x in before), hot, *(f"b{x}" for x in after)])
+
+    block = [  # the high 32 bits of their blocks' hashes agree
+        (1, around([536751, 779313, 265396, 269111, 740044, 362996], [174511, 739903, 370174, 611666, 799065, 350611])),
+        (2, around([879983, 636203, 841900, 184814, 257897, 841499], [995958, 657312, 739685, 767201, 733999, 232898])),
+    ]
+    window = [  # those of their windows'
+        (3, around([984424, 494355, 743038, 717682, 268589, 364466], [691552, 750650, 345904, 783945, 282931, 11159])),
+        (4, around([799061, 375400, 452362, 563914, 318093, 607371], [332504, 140403, 209180, 786661, 964203, 836143])),
+    ]
+    for rows in (block, window):
+        assert ours(docs(rows)) == brute(rows) == [(k, 20, 0, t) for k, t in rows]
+
+
 def test_empty_and_null_ids(docs):
     assert ours(docs([])) == []
     text = " ".join(f"w{i}" for i in range(25))
