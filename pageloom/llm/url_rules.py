@@ -2,13 +2,16 @@
 
 A rule (host, path prefix) fits the host and all its subdomains; of the rules that fit, the longest wins.  Pages that
 redirect to each other or name a common canonical address are aliases: connected components over these edges carry a
-block to the pages that no rule decides, unless an allow rule decides a page of the same component, which takes
-precedence.
+block to the pages that no rule decides, unless an allow rule decides an address of the same component, which takes
+precedence.  The targets of links are judged as well as the pages, whether they are pages themselves or not.
 """
 
 from __future__ import annotations
 
+import html as references
+import re
 from dataclasses import dataclass
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +65,18 @@ def link_targets(html: Column) -> Column:
     return F.filter(F.concat(canonical, refresh), lambda u: u != "")
 
 
+_REFERENCE = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+);?|([A-Za-z][A-Za-z0-9]*(?:;|(?![A-Za-z0-9=]))))")
+
+
+def dereferenced(target: str | None) -> str | None:
+    """A target with its character references decoded as in attributes: a name counts as one if it ends with a
+    semicolon, or is of the old ones and neither = nor a letter or digit follows.  Quotes around an address go."""
+    if target is None or "&" not in target:
+        return target
+    out = _REFERENCE.sub(lambda m: references.unescape(m[0]) if m[1] is None else html5.get(m[1], m[0]), target)
+    return out[1:].split(out[0])[0] if out[:1] in ("'", '"') else out
+
+
 def _absolute(target: Column, url: Column) -> Column:
     """A target against the page's own address: absolute, //host, /path, or beside the page."""
     origin, scheme = F.regexp_extract(url, r"^([^/?#]*//[^/?#]*)", 1), F.regexp_extract(url, r"^([^/?#]*)//", 1)
@@ -74,7 +89,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
     """page_id, url, host, path, rule, component (null without an address), verdict: one row for each row of pages.
 
     Null and malformed urls have empty host and path, fit no rule and have no aliases, so their verdict is the default.
-    Null html has no edges.  Rows with the same address are aliases of each other, whatever their ids; a third of all
+    Null html has no edges.  A target counts with the decision on its absolute address, be it a row or not.  Rows with the same address are aliases of each other, whatever their ids; a third of all
     rows may share one address, since edges are distinct pairs of addresses and counted before they are shuffled.
     Ties of rules go to the one named first.  An empty table gives an empty result; extra columns are not read.
     """
@@ -88,16 +103,22 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
         edges = None
     else:
         linked = judged.where(F.col("_html").rlike("(?i)canonical|refresh") & F.col("_address").isNotNull())
-        hop = linked.select("_address", F.explode(link_targets(F.col("_html"))).alias("_to"), "_url")
-        pairs = hop.select(F.col("_address").alias("_from"), address(_absolute(F.col("_to"), F.col("_url"))).alias("_to")).where("_to is not null and _from <> _to").distinct()
-        edges = saved(pairs.select("_from", "_to", F.xxhash64("_from").alias("_a"), F.xxhash64("_to").alias("_b")))
+        decoded = F.udf(dereferenced, "string", useArrow=True)
+        hop = linked.select("_address", F.explode(link_targets(F.col("_html"))).alias("_to"), "_url").withColumn("_to", decoded("_to"))
+        named = hop.select(F.col("_address").alias("_from"), _absolute(F.col("_to"), F.col("_url")).alias("_target"))
+        pairs = named.select("_from", address(F.col("_target")).alias("_to"), decide(*parse(F.col("_target")), rules)[1].alias("_own")).where("_to is not null and (_from <> _to or _own is not null)").distinct()
+        edges = saved(pairs.select("_from", "_to", "_own", F.xxhash64("_from").alias("_a"), F.xxhash64("_to").alias("_b")))
     node = F.xxhash64("_address")
+    named_too = None
     if edges is None or edges.isEmpty():
         component = plain.withColumn("_component", F.when(F.col("_address").isNotNull(), node))
     else:
         labels = connected_components(edges, "_a", "_b")
         component = plain.withColumn("_node", F.when(F.col("_address").isNotNull(), node)).join(labels, F.col("_node") == F.col("node"), "left").withColumn("_component", F.coalesce("component", "_node"))
-    decided = component.where("_own is not null and _component is not null").groupBy("_component").agg(F.min("_own").alias("_got"))  # allow < block: an allow takes precedence
+        targets = edges.where("_own is not null").select("_b", "_own").distinct()
+        named_too = targets.join(labels, F.col("_b") == F.col("node"), "left").select(F.coalesce("component", "_b").alias("_component"), "_own")
+    own = component.where("_own is not null and _component is not null").select("_component", "_own")
+    decided = (own if named_too is None else own.unionAll(named_too)).groupBy("_component").agg(F.min("_own").alias("_got"))  # allow < block: an allow takes precedence
     out = component.join(decided.withColumnRenamed("_component", "_c"), F.col("_component") == F.col("_c"), "left")
     return out.select(
         F.col("_id").alias(id_col), F.col("_url").alias("url"), F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.col("_component").alias("component"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pageloom.llm import queries
 from pageloom.llm.components import connected_components
 from pageloom.llm.queries import RULES
-from pageloom.llm.url_rules import filter_urls
+from pageloom.llm.url_rules import dereferenced, filter_urls
 
 
 def pages(spark, rows):
@@ -42,6 +42,24 @@ def test_blocks_reach_aliases_and_allow_takes_precedence(spark):
     assert [got[i][3] for i in range(10)] == ["block", "block", "block", "block", "allow", "block", "allow", "allow", "allow", "allow"]
 
 
+def test_targets_that_are_no_pages_are_judged(spark):
+    got = verdicts(spark, [
+        ("http://a.com/1", link("http://example.com/de/1")), ("http://b.com/1", '<meta http-equiv="refresh" content="0; url=/2">'), ("http://b.com/2", link("//c.net/")),
+        ("http://d.com/1", link("http://e.net/1")), ("http://d.com/2", link("http://d.com/1")), ("http://d.com/3", link("http://d.com/2") + link("http://w.org/fr/9")),
+        ("http://net", link("http://net/")), ("http://f.com/1", link("http://g.com/1")),
+    ])
+    assert [got[i][3] for i in range(8)] == ["block", "block", "block", "allow", "allow", "allow", "block", "allow"]
+
+
+def test_character_references_in_targets(spark):
+    got = verdicts(spark, [
+        ("http://a.com/1", link("http://a.com/2?a=1&amp;b=2")), ("http://a.com/2?a=1&b=2", link("http://s.net/1")),
+        ("http://b.com/1", link("http:&#47;/b.com/2?a=1&copy=2&#x26;c=3")), ("http://b.com/2?a=1&copy=2&c=3", link("http://s.net/2")),
+    ])
+    assert [got[i][3] for i in range(4)] == ["block"] * 4
+    assert [dereferenced(x) for x in (None, "a&b", "&eacute;&eacute", "&ampx;&amp=&nosuch;", "it&#39;s", "&quot;http://x/&quot;")] == [None, "a&b", "éé", "&ampx;&amp=&nosuch;", "it's", "http://x/"]
+
+
 def test_empty(spark):
     assert verdicts(spark, []) == {}
 
