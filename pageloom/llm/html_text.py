@@ -3,8 +3,12 @@
 Markup is stripped so that each block element gives one line.  A line counts for the length of its text; what stands in
 menus, headers, footers, sidebars, notices, adverts, forms and comments, and what is mostly links, counts for nothing.
 Lengths are summed over sliding windows of LINES lines.  The text surges where the sum rises to SURGE, and dives where a
-window sums to zero; the lines between a surge and its dive are the main text.  A page whose article is marked up as
-such needs no height to surge: its lines count, all others don't.
+window sums to zero; the lines between a surge and its dive are the main text.
+
+Article and main elements are a weight: where one holds text, its lines need no height to surge and those outside count
+for nothing, but for headings of the main element before its article.  That holds unless the distribution speaks against
+it: where lines outside surge to DOUBT times SURGE, and hold more than DOUBT times the text of the largest article (or of main),
+the story is outside and the element is a teaser: then main decides in place of article, or all lines count alike.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches
 
 LINES, SURGE = 3, 120
+#: How much higher, and how much longer, the text outside an article element is where the element is not the article.
+DOUBT = 2
 #: A line whose text is links to this part or more counts for nothing.
 LINK_SHARE = 0.5
 
@@ -36,6 +42,7 @@ ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog for
 NOT_NOISE = frozenset("has with without no".split())
 #: Words that begin or end with these are noise as well (commentlist, sitefooter).
 NOISE_BEGINS, NOISE_ENDS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar"), ("banner", "comments", "footer", "menu", "nav", "sidebar")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A page's own header, where it is not an article's.
 HEADERS, ARTICLES = frozenset("header pageheader siteheader topheader".split()), frozenset("article content entry post story title".split())
 #: A line that says so is the page's, not the article's.
@@ -75,14 +82,15 @@ def is_noise(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str | None, int, int]]:
-    """Of each line: its text; the length that counts; 2 in an article element, 1 in a main one, else 0.  A line that
-    is not the article's (noise) has the text None in place of its own."""
-    out: list[tuple[str | None, int, int]] = []
+def lines_of(page: str) -> list[tuple[str | None, int, int, int, str]]:
+    """Of each line: its text; the length that counts; 2 in an article element, 1 in a main one, 3 in both, else 0; the
+    number of the innermost of them; the name of the heading it is.  A line that is not the article's (noise) has the text None in place of its
+    own."""
+    out: list[tuple[str | None, int, int, int, str]] = []
     text: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, int]] = []  # element, noise, article
-    noise, article, in_link = False, 0, False
+    stack: list[tuple[str, bool, int, int]] = []  # element, noise, article, its number
+    noise, article, number, elements, in_link = False, 0, 0, 0, False
 
     def flush() -> None:
         nonlocal linked
@@ -90,13 +98,14 @@ def lines_of(page: str) -> list[tuple[str | None, int, int]]:
             line = " ".join(references.unescape("".join(text)).split())
             text.clear()
             if line:
-                out.append((None, 0, article) if noise or (not article and _RIGHTS.search(line)) else (line, 0 if linked >= LINK_SHARE * len(line) else len(line), article))
+                heading = next((name for name, *_ in reversed(stack) if name in HEADINGS), "")
+                out.append((None, 0, article, number, "") if noise or (not article and _RIGHTS.search(line)) else (line, 0 if linked >= LINK_SHARE * len(line) else len(line), article, number, heading))
         linked = 0
 
     def pop(to: int) -> None:
-        nonlocal noise, article
+        nonlocal noise, article, number
         del stack[to:]
-        noise, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+        noise, article, number = stack[-1][1:] if stack else (False, 0, 0)
 
     at = 0
     page = _RAW.sub(" ", page)
@@ -137,10 +146,13 @@ def lines_of(page: str) -> list[tuple[str | None, int, int]]:
             continue  # bold and the like change nothing
         if bad and not noise:
             flush()
-        stack.append((name, noise or bad, max(article, {"article": 2, "main": 1}.get(name, 0))))
-        noise, article = stack[-1][1], stack[-1][2]
+        rank = {"article": 2, "main": 1}.get(name, 0)
+        new = bool(rank & ~article)
+        elements += new
+        stack.append((name, noise or bad, article | rank, elements if new else number))
+        noise, article, number = stack[-1][1:]
         if name in ("article", "main") and not bad:
-            out.append((None, 0, article))
+            out.append((None, 0, article, number, ""))
     text.append(page[at:])
     flush()
     return out
@@ -169,20 +181,47 @@ def surges_and_dives(lengths: np.ndarray, surge: float, lines: int = LINES) -> l
     return found
 
 
+def believed(counts: np.ndarray, ranks: np.ndarray, numbers: np.ndarray) -> int:
+    """2 if the article elements hold the main text, 1 if the main ones do, 0 if the whole page does."""
+    for level in (2, 1):
+        inside = (ranks & level) > 0
+        if not counts[inside].any():
+            continue
+        largest = np.bincount(numbers[inside], weights=counts[inside]).max() if level == 2 else counts[inside].sum()
+        outside = np.where(inside, 0, counts)
+        if sum(int(outside[a:b].sum()) for a, b in surges_and_dives(outside, DOUBT * SURGE)) <= DOUBT * largest:
+            return level
+    return 0
+
+
+def titles_before(lines: list[tuple[str | None, int, int, int, str]]) -> list[int]:
+    """Headings of the main element before its first article: all h1, and of the others those right before it."""
+    first = next(i for i, (_, n, rank, *_) in enumerate(lines) if n and rank & 2)
+    found, beside = [], True
+    for i in range(first - 1, -1, -1):
+        _, n, rank, _, heading = lines[i]
+        if n and rank == 1 and (heading == "h1" or (heading and beside)):
+            found.append(i)
+        elif n:
+            beside = False
+    return found[::-1]
+
+
 def extract(page: str | None) -> str:
     """The main text: lines joined by an empty one."""
     if not page:
         return ""
     lines = lines_of(page)
-    level = max((a for t, n, a in lines if n), default=0)
-    lengths = np.array([n if a == level or not level else 0 for _, n, a in lines], np.int64)
-    if not lengths.any():
+    counts, ranks, numbers = (np.array([line[k] for line in lines], np.int64) for k in (1, 2, 3))
+    if not counts.any():
         return ""
-    if level:
-        ranges = surges_and_dives(lengths, 1)
-    else:
-        ranges = surges_and_dives(lengths, SURGE) or surges_and_dives(lengths, distribution(lengths).max())
-    return "\n\n".join(t for a, b in ranges for t, _, inside in lines[a:b] if t and (inside == level or not level))
+    level = believed(counts, ranks, numbers)
+    if not level:
+        ranges = surges_and_dives(counts, SURGE) or surges_and_dives(counts, distribution(counts).max())
+        return "\n\n".join(t for a, b in ranges for t, *_ in lines[a:b] if t)
+    ranges = surges_and_dives(np.where(ranks & level, counts, 0), 1)
+    kept = [lines[i][0] for i in titles_before(lines)] if level == 2 else []
+    return "\n\n".join(kept + [t for a, b in ranges for t, _, rank, *_ in lines[a:b] if t and rank & level])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: list[str] | None = None) -> DataFrame:

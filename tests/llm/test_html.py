@@ -29,6 +29,22 @@ def test_pages(page, want):
     assert html_text.extract(page) == want
 
 
+STORY = [f"{i} {P1}" for i in range(6)]
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f"<div>{''.join(f'<p>{x}</p>' for x in STORY)}</div><div><p><a href=x>More</a></p><p><a href=x>of</a></p><p><a href=x>this</a></p></div><article class='card'><h3>Teaser</h3><p>A few words.</p></article>", STORY),
+        (f"<article><p>{P1}</p></article><article><p>{P1}</p></article><ul><li><a href=x>a</a><li><a href=x>b</a><li><a href=x>c</a></ul><main>{''.join(f'<p>{x}</p>' for x in STORY)}</main>", STORY),
+        (f"<main><h1>Title</h1><p>By someone</p><h2>Part</h2><article><p>{P1}</p></article><h2>After</h2></main>", ["Title", "Part", P1]),
+        (f"<article>{''.join(f'<p>{x}</p>' for x in STORY)}</article><div><p>{P1}</p><p>{P1}</p></div>", STORY),
+    ],
+)
+def test_distribution_can_overrule_markup(page, want):
+    assert html_text.extract(page) == "\n\n".join(want)
+
+
 def test_surges_and_dives():
     import numpy as np
 
