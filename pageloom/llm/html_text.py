@@ -1,7 +1,8 @@
 """Main text of a web page by the distribution of text over its lines.
 
 Markup is stripped so that each block element gives one line.  A line counts for the length of its text; what stands in
-menus, headers, footers, sidebars, notices, adverts, forms and comments, and what is mostly links, counts for nothing.
+menus, headers, footers, sidebars, notices, adverts, forms and comments, and what is mostly links outside an article element,
+counts for nothing.
 Lengths are summed over sliding windows of LINES lines.  The text surges where the sum rises to SURGE, and dives where a
 window sums to zero; the lines between a surge and its dive are the main text.
 
@@ -27,7 +28,7 @@ from .common import bounded_batches
 LINES, SURGE = 3, 120
 #: How much higher, and how much longer, the text outside an article element is where the element is not the article.
 DOUBT = 2
-#: A line whose text is links to this part or more counts for nothing.
+#: A line whose text is links to this part or more counts for nothing outside an article element.
 LINK_SHARE = 0.5
 
 # Element names of HTML, and words in class, id and role that tell what is not the article.
@@ -99,7 +100,7 @@ def lines_of(page: str) -> list[tuple[str | None, int, int, int, str]]:
             text.clear()
             if line:
                 heading = next((name for name, *_ in reversed(stack) if name in HEADINGS), "")
-                out.append((None, 0, article, number, "") if noise or (not article and _RIGHTS.search(line)) else (line, 0 if linked >= LINK_SHARE * len(line) else len(line), article, number, heading))
+                out.append((None, 0, article, number, "") if noise or (not article and _RIGHTS.search(line)) else (line, 0 if linked >= LINK_SHARE * len(line) and not article & 2 else len(line), article, number, heading))
         linked = 0
 
     def pop(to: int) -> None:

@@ -45,6 +45,12 @@ def test_distribution_can_overrule_markup(page, want):
     assert html_text.extract(page) == "\n\n".join(want)
 
 
+def test_link_lines_of_an_article_stay():
+    links = [f"item {i}" for i in range(5)]
+    page = f"<article><p>{P1}</p><ul>{''.join(f'<li><a href=x>{x}</a>' for x in links)}</ul><p>{P1}</p><p><a href=x>Mostly a link</a> here</p></article>"
+    assert html_text.extract(page) == "\n\n".join([P1, *links, P1, "Mostly a link here"])
+
+
 def test_surges_and_dives():
     import numpy as np
 
