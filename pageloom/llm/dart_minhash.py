@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEEP, U64, WORD_BASE, Words, binary, bounded_batches, forget, in_chunks, list_array, mix, order_key, saved, signed
+from .common import KEEP, U64, WORD_BASE, Words, binary, bounded_batches, forget, in_chunks, list_array, mix, order_key, saved, signed, spans_hash
 from .components import connected_components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -92,8 +92,14 @@ def signatures(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n_text
     return out
 
 
+def identities(words: Words) -> tuple[pa.Array, pa.Array]:
+    """p1, p2: 128 bits of each text's words in order; 0, 0 without words."""
+    starts, ends, has = words.bounds[:-1], words.bounds[1:], words.counts > 0
+    return tuple(signed(np.where(has, spans_hash(h, starts, ends, WORD_BASE), U64(0))) for h in (words.hashes, mix(words.hashes ^ U64(0x2545F4914F6CDD1D))))
+
+
 def _sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc, p1, p2 (the text's identity: 128 bits of its words in order; 0, 0 without words), bands array<long>."""
+    """doc, p1, p2 (the text's identity), bands array<long>."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,30 +111,27 @@ def _sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 keys = np.zeros((b - a, bands), U64)
                 for r in range(rows):
                     keys = mix(keys * U64(WORD_BASE) + sig.reshape(b - a, bands, rows)[:, :, r])
-                p1 = words.window_hashes(words.bounds[:-1], words.counts)
-                p2 = Words(raw[a:b], KEEP)
-                p2.hashes = mix(words.hashes ^ U64(0x2545F4914F6CDD1D))
-                p2 = p2.window_hashes(words.bounds[:-1], words.counts)
                 has = words.counts > 0
                 some = np.where(has, bands, 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), signed(np.where(has, p1, U64(0))), signed(np.where(has, p2, U64(0))), list_array(np.concatenate(([0], np.cumsum(some))), signed(keys[has].reshape(-1)))], ["doc", "p1", "p2", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *identities(words), list_array(np.concatenate(([0], np.cumsum(some))), signed(keys[has].reshape(-1)))], ["doc", "p1", "p2", "bands"])
 
     return docs.mapInArrow(run, "doc long, p1 long, p2 long, bands array<long>")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """text (id), elements binary (sorted hashes), weights binary (int32)."""
+    """p1, p2, elements binary (sorted hashes), weights binary (int32)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = binary(batch.column(1))
             for a, b in in_chunks(raw):
-                text, element, weight = shingles(Words(raw[a:b], KEEP), n)
+                words = Words(raw[a:b], KEEP)
+                text, element, weight = shingles(words, n)
                 ends = np.searchsorted(text, np.arange(b - a + 1))
                 parts = list(zip(ends[:-1], ends[1:], strict=True))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([element[i:j].tobytes() for i, j in parts], pa.binary()), pa.array([weight[i:j].astype(np.int32).tobytes() for i, j in parts], pa.binary())], ["text", "elements", "weights"])
+                yield pa.RecordBatch.from_arrays([*identities(words), pa.array([element[i:j].tobytes() for i, j in parts], pa.binary()), pa.array([weight[i:j].astype(np.int32).tobytes() for i, j in parts], pa.binary())], ["p1", "p2", "elements", "weights"])
 
-    return docs.mapInArrow(run, "text long, elements binary, weights binary")
+    return docs.mapInArrow(run, "p1 long, p2 long, elements binary, weights binary")
 
 
 def similarity(a: bytes, wa: bytes, b: bytes, wb: bytes) -> float:
@@ -197,18 +200,24 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, n: int = SH
     is a text with fewer than n words unless another has the same.  A null id counts as the least of all.  Different
     texts under one id are one document: a link of either is a link of both.
     """
+    return _classes(docs, similarity, n, bands, rows, id_col, text_col).drop("near")
+
+
+def _classes(docs: DataFrame, similarity: float = SIMILARITY, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What near_duplicates() gives, written, and near: a number of the texts linked by their words alone, whatever ids
+    they have; null without words.  Texts have numbers of their own, since an id can have several."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     source = bounded_batches(docs).select(order_key(F.col(f"`{id_col}`")).alias("doc"), text.alias("text"))
     sketches = saved(_sketches(source, n, bands, rows))
-    texts = saved(sketches.where("p1 <> 0 or p2 <> 0").groupBy("p1", "p2").agg(F.min("doc").alias("text"), F.first("bands").alias("bands")))
+    texts = saved(sketches.where("p1 <> 0 or p2 <> 0").groupBy("p1", "p2").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands")).withColumn("text", F.monotonically_increasing_id()))
     keyed = texts.select("text", F.posexplode("bands").alias("band", "hash")).select("text", F.xxhash64("band", "hash").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("text").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least")
     members = saved(keyed.join(shared, "key").select("key", "text", "least"))
     links = members.where("text <> least").select(F.col("text").alias("a"), F.col("least").alias("b")).distinct()
-    involved = members.select("text").distinct()
-    chosen = source.join(involved.withColumnRenamed("text", "id"), F.col("doc") == F.col("id"), "left_semi").select("doc", "text")
-    sets = _sets(chosen, n).groupBy("text").agg(F.min(F.struct("elements", "weights")).alias("s"))
-    sets = saved(sets.select("text", "s.elements", "s.weights"))
+    involved = texts.join(members.select("text").distinct(), "text", "left_semi").select("text", "p1", "p2", "doc")
+    chosen = source.join(involved.select("doc").distinct(), "doc", "left_semi").select("doc", "text")
+    sets = _sets(chosen, n).groupBy("p1", "p2").agg(F.min(F.struct("elements", "weights")).alias("s"))
+    sets = saved(sets.join(involved, ["p1", "p2"]).select("text", "s.elements", "s.weights"))
     held = saved(_checked(links, sets, similarity))
     labels = connected_components(held, "a", "b")
     marked = members.join(labels, F.col("text") == F.col("node"), "left").select("key", "text", F.coalesce("component", "text").alias("component"))
@@ -218,24 +227,64 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, n: int = SH
         more = saved(_across(left_over, sets, similarity))
         if not more.isEmpty():
             labels = connected_components(held.unionAll(more), "a", "b")
-    named = texts.join(labels, F.col("text") == F.col("node"), "left").select("p1", "p2", F.coalesce("component", "text").alias("class_id"))
-    out = sketches.select("doc", "p1", "p2").join(named, ["p1", "p2"], "left").select("doc", "p1", "p2", F.coalesce("class_id", "doc").alias("class_id"))
-    for done in (members, sets, held, left_over):
+    linked = saved(labels.join(texts.select("text", "doc"), F.col("node") == F.col("text")).select("node", "component", "doc"))
+    leads = linked.groupBy("component").agg(F.min("doc").alias("lead"))
+    linked_to = linked.join(leads, "component").select("node", "component", "lead")
+    named = texts.join(linked_to, F.col("text") == F.col("node"), "left").select("p1", "p2", F.coalesce("component", "text").alias("near"), F.coalesce("lead", "doc").alias("class_id"))
+    out = saved(sketches.select("doc", "p1", "p2").join(named, ["p1", "p2"], "left").select("doc", "p1", "p2", F.coalesce("class_id", "doc").alias("class_id"), "near"))
+    for done in (members, sets, held, left_over, linked):
         forget(done)
-    return out
+    return _one_document(out)
+
+
+def _one_document(classes: DataFrame) -> DataFrame:
+    """The same with the classes made one in which texts of one id are."""
+    several = classes.where("near is not null").groupBy("doc").agg(F.min("near").alias("first"), F.max("near").alias("last")).where("first <> last").select("doc", "first")
+    edges = saved(classes.join(several, "doc").where("near <> first").select("near", "first").distinct())
+    if edges.isEmpty():
+        forget(edges)
+        return classes
+    groups = connected_components(edges, "near", "first").select(F.col("node").alias("near"), F.col("component").alias("group"))
+    least = classes.join(groups, "near").groupBy("near", "group").agg(F.min("class_id").alias("class_id"))
+    least = saved(least)
+    leads = least.groupBy("group").agg(F.min("class_id").alias("lead"))
+    joined = classes.join(least.join(leads, "group").select("near", "lead"), "near", "left")
+    return saved(joined.select("doc", "p1", "p2", F.coalesce("lead", "class_id").alias("class_id"), "near"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """docs, of each class only the row of the least id; of rows that repeat an id and a text, one.
+    """docs, of each class only the row of the least id; of rows that repeat this id, one for each text that is no near
+    copy of another of them.
 
     Rows without words stay, each a class of its own.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    classes = near_duplicates(docs, **options)
+    classes = _classes(docs, **options)
     first = classes.where("doc = class_id").select(F.col("doc").alias("_k")).distinct()
     row, k = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), order_key(F.col(f"`{id_col}`"))
     kept = docs.select(row, k.alias("_k"), F.col(f"`{text_col}`").cast("string").alias("_text")).join(first, "_k", "left_semi")
-    return kept.groupBy("_k", "_text").agg(F.min("_row").alias("_row")).select("_row.*")
+    kept = kept.groupBy("_k", "_text").agg(F.min("_row").alias("_row"))
+    several = saved(classes.where("near is not null and doc = class_id").groupBy("doc").agg(F.count("*").alias("c")).where("c > 1").select(F.col("doc").alias("_k")))
+    if several.isEmpty():
+        forget(several)
+        return kept.select("_row.*")
+    texts = classes.where("near is not null").select("p1", "p2", "near").distinct()
+    again = _identified(kept.join(several, "_k", "left_semi")).join(texts, ["p1", "p2"], "left")
+    again = again.groupBy("_k", "near", F.when(F.col("near").isNull(), F.col("_text")).alias("_t")).agg(F.min("_row").alias("_row"))
+    return kept.join(several, "_k", "left_anti").select("_row.*").unionAll(again.select("_row.*"))
+
+
+def _identified(kept: DataFrame) -> DataFrame:
+    """_k, _text, _row, and the text's p1 and p2."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = binary(batch.column(1))
+            for a, b in in_chunks(raw):
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), *identities(Words(raw[a:b], KEEP))], ["_k", "_text", "_row", "p1", "p2"])
+
+    picked = kept.select("_k", "_text", "_row")
+    return picked.mapInArrow(run, f"_k long, _text string, _row {picked.schema['_row'].dataType.simpleString()}, p1 long, p2 long")
 
 
 __all__ = ["BANDS", "ROWS", "SHINGLE", "SIMILARITY", "keep_one", "near_duplicates", "shingles", "signatures", "similarity"]

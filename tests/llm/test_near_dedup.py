@@ -77,6 +77,21 @@ def test_repeated_rows_and_empty(docs):
     assert ours(docs([])) == [] and keep_one(docs([])).count() == 0
 
 
+def test_several_texts_of_one_id(docs):
+    def text(name, change=None):
+        return " ".join(change if change and i == 50 else f"{name}{i}" for i in range(100))
+
+    least = -(2**63)
+    rows = [
+        (None, text("a")), (None, text("b")), (None, text("c")), (None, text("c", "x")), (None, "  " + text("c")), (1, text("a", "y")), (2, text("b", "y")), (3, text("c", "z")),
+        (10, text("d")), (10, text("e")), (11, text("e", "x")), (9, text("d", "x")), (12, text("f")),
+        (20, text("g")), (21, text("g")), (21, text("h")), (22, text("h", "x")), (None, ""),
+    ]
+    assert ours(docs(rows)) == [(least, least)] * 6 + [(1, least), (2, least), (3, least), (9, 9), (10, 9), (10, 9), (11, 9), (12, 12), (20, 20), (21, 20), (21, 20), (22, 20)]
+    kept = [(r.doc_id, r.text.split()[:1]) for r in keep_one(docs(rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([(None, ["a0"]), (None, ["b0"]), (None, ["c0"]), (None, []), (9, ["d0"]), (12, ["f0"]), (20, ["g0"])], key=repr)
+
+
 def test_signatures_estimate_the_weighted_similarity():
     rng = np.random.default_rng(8)
     k, elements = 400, rng.integers(0, 2**63, 300).astype(np.uint64)
