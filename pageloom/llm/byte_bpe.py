@@ -14,6 +14,7 @@ text are independent, so rows, order and repeated rows don't matter.  Extra colu
 from __future__ import annotations
 
 import base64
+import heapq
 import re
 from array import array
 from collections.abc import Iterator
@@ -24,12 +25,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, list_array
+from .common import bounded_batches, in_chunks, list_array
 
-#: Entries that a worker keeps of each kind; beyond it starts anew, so that its memory stays bounded.
-KEPT = 300_000
-#: Bytes of the longest part of a match whose encoding is kept.
-KEPT_BYTES = 32
+#: Entries that a worker keeps of each kind, and the bytes of the longest text of one: so its memory is bounded by bytes.
+KEPT, KEPT_BYTES = 100_000, 32
+#: Bytes of text whose ids are sent back at once.
+SLICE_BYTES = 1 << 20
+#: Bytes of a window beyond which its pairs wait in a heap.
+HEAP_BYTES = 48
 #: A pattern in common use and, for texts of nothing but the characters that PLAIN allows, one that splits
 #: them alike and needs no tables of Unicode properties.
 COMMON = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -78,7 +81,9 @@ class Codec:
         return COMMON_PLAIN.findall(text) if self.common and not PLAIN.search(text) else self.split_any(text)
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
-        """A short window, merge by merge: always the leftmost of the pairs with the least rank."""
+        """A window, merge by merge: always the leftmost of the pairs with the least rank."""
+        if len(piece) > HEAP_BYTES:
+            return self.merge_long(piece)
         parts = [piece[i : i + 1] for i in range(len(piece))]
         ranks = self.ranks
         while len(parts) > 1:
@@ -92,6 +97,30 @@ class Codec:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return tuple(ranks[p] for p in parts)
 
+    def merge_long(self, piece: bytes) -> tuple[int, ...]:
+        """The same with the pairs in a heap and the parts in a linked list: n log n."""
+        ranks, n = self.ranks, len(piece)
+        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that begins at a byte
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, end = heapq.heappop(heap)
+            j = ends[i]
+            if j <= i or j >= n or ends[j] != end:
+                continue  # one of the two has grown or gone
+            ends[i], ends[j] = end, -1
+            if end < n:
+                before[end] = i
+                if (r := ranks.get(piece[i : ends[end]])) is not None:
+                    heapq.heappush(heap, (r, i, ends[end]))
+            if (k := before[i]) >= 0 and (r := ranks.get(piece[k:end])) is not None:
+                heapq.heappush(heap, (r, k, end))
+        out, i = [], 0
+        while i < n:
+            out.append(ranks[piece[i : ends[i]]])
+            i = ends[i]
+        return tuple(out)
+
     def pair(self, a: int, b: int) -> tuple[int, ...]:
         """The encoding of two tokens' bytes; (a, b) if they may stand side by side."""
         got = self.pairs.get((a, b))
@@ -117,18 +146,22 @@ class Codec:
                 return left[:a] + window + right[b:]
             n *= 2
 
-    def encode_bytes(self, piece: bytes) -> tuple[int, ...]:
-        got = self.parts.get(piece)
-        if got is not None:
-            return got
+    def encode_bytes(self, piece: bytes, seen: dict[bytes, tuple[int, ...]] | None = None) -> tuple[int, ...]:
+        """seen: the halves of this match, so that a run of one letter is encoded once for each length."""
         n = len(piece)
         if n < 2:
             return (self.ranks[piece],) if n else ()
-        ids = self.join(self.encode_bytes(piece[: n >> 1]), self.encode_bytes(piece[n >> 1 :]))
-        if n <= KEPT_BYTES // 4:
-            if len(self.parts) >= KEPT:
-                self.parts.clear()
-            self.parts[piece] = ids
+        short = n <= KEPT_BYTES // 4
+        seen = {} if seen is None else seen
+        known = self.parts if short else seen
+        ids = known.get(piece)
+        if ids is None:
+            half = 1 << ((n - 1).bit_length() - 1)  # a power of two, so that equal letters give equal halves
+            ids = self.join(self.encode_bytes(piece[:half], seen), self.encode_bytes(piece[half:], seen))
+            if short and len(known) >= KEPT:
+                known.clear()
+            if short or n > KEPT_BYTES:
+                known[piece] = ids
         return ids
 
     def encode(self, text: str) -> array:
@@ -151,28 +184,31 @@ def codec(vocabulary: bytes, pattern: str) -> Codec:
     return _codecs[vocabulary, pattern]
 
 
-def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids array<int>, decoded binary: the ids of each whole text, and what they decode to.
+def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:
+    """doc_id, ids array<int>, and with decode, decoded binary: the ids of each whole text, and what they decode to.
 
-    Works row by row without a shuffle.  A null text counts as empty; empty texts have no ids and decode to nothing.
-    Repeated rows give repeated results; an empty table gives none.
+    Works row by row without a shuffle; doc_id has the type of id_col, whatever that is, and null ids stay null.  A null
+    text counts as empty; empty texts have no ids and decode to nothing.  Repeated rows give repeated results; an empty
+    table gives none; columns but those two are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary, pattern)
         for batch in batches:
-            texts = batch.column(1)
-            for at in range(0, batch.num_rows, 256):
+            texts = batch.column(1).to_pylist()
+            for a, b in in_chunks([x or "" for x in texts], SLICE_BYTES):
                 ends, flat, decoded = [0], array("i"), []
-                for x in texts.slice(at, 256).to_pylist():
+                for x in texts[a:b]:
                     ids = c.encode(x) if x else array("i")
                     flat += ids
                     ends.append(len(flat))
-                    decoded.append(c.decode(ids))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), list_array(ends, pa.array(memoryview(flat) if len(flat) else [], pa.int32())), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+                    if decode:
+                        decoded.append(c.decode(ids))
+                columns = [batch.column(0).slice(a, b - a), list_array(ends, pa.array(memoryview(flat) if len(flat) else [], pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(decoded, pa.binary())] * decode, ["doc_id", "ids", "decoded"][: 2 + decode])
 
-    picked = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    picked = bounded_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, ids array<int>" + ", decoded binary" * decode)
 
 
 def ids_text(ids: Column) -> Column:

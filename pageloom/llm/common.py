@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 from collections.abc import Iterator
 
@@ -19,24 +17,39 @@ BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 CHUNK_BYTES = 1 << 19
 
 
+#: Spark's setting by which the shuffle files of a query are deleted when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 # --- shared storage -------------------------------------------------------------------------------------------------
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests), one of our own under the warehouse."""
+    """The folder in spark.checkpoint.dir.  Where that is unset, a session on one machine gets one of our own under the
+    warehouse; on a cluster it is an error, as the warehouse may be a local folder of each host."""
     context = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not at:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
         context.setCheckpointDir(at)
     return at.rstrip("/")
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it again: cuts the lineage, survives lost executors."""
+    """Writes df as Parquet to the shared folder and reads it again: cuts the lineage, survives lost executors.
+
+    The shuffle files of the write go with its end; nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/saved-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    was = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, was)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
     return out
@@ -51,13 +64,6 @@ def forget(df: DataFrame | None) -> None:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of frames that nothing refers to any more; they would wait for a collection."""
-    gc.collect()
-    time.sleep(1.2)  # the bridge to the JVM drops references once a second
-    spark._jvm.System.gc()
-
-
 # --- columns --------------------------------------------------------------------------------------------------------
 
 
@@ -66,10 +72,6 @@ def order_key(column: Column) -> Column:
     return F.coalesce(column.cast("long"), F.lit(-(2**63)))
 
 
-def words_or_empty(column: Column) -> Column:
-    return F.coalesce(column.cast("string"), F.lit(""))
-
-
 # --- hashing of words -----------------------------------------------------------------------------------------------
 
 SPACES = np.zeros(256, bool)

@@ -1,17 +1,10 @@
 """Removal of passages that stand earlier, in another document or the same.
 
-Every window of n consecutive words has a Rabin-Karp hash.  Windows are not counted one by one: among the runs of GRAM
-words inside a window the one with the least hash (the leftmost, of equals) is the window's anchor, so that equal
-windows have equal anchors at equal offsets, and consecutive windows that share an anchor form a block.  Spark counts
-anchors (about one for seven words); only blocks whose anchor occurs again go on.
-
-* An occurrence of a block that has an earlier one is repeated as a whole.
-* The first occurrence of a block can repeat windows of another block with the same anchor (where a copied passage
-  begins or ends, or was changed).  For these blocks alone the windows themselves are counted: each against the first place of all.
-
-Each decision is the one that counting all windows would give, and there is no limit on how often anything occurs.
-Repeated windows merge into maximal spans of words.  Identity is by two hashes, of an anchor (64
-bits) and of its block or window (64 more, which alone tell contents apart under one anchor).
+Every window of n consecutive words has a Rabin-Karp hash of 80 bits, and all of them are counted in Spark.  A task
+hashes the windows of a chunk of texts.  Of windows that agree inside the chunk only the first goes on, which
+bounds how often a hot passage is sent: once a chunk.  The hashes are dealt to buckets by their value, packed with their
+places, one shuffle for all; the number of buckets grows with the text, so that a bucket fits a task.  There each hash
+is counted, and all its windows but the first are repeated.  Repeated windows merge into maximal spans of words.
 """
 
 from __future__ import annotations
@@ -23,42 +16,83 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEEP, WORD_BASE, Words, binary, bounded_batches, forget, in_chunks, int64, list_array, mix, order_key, release, saved, signed, spans_hash
+from .common import KEEP, U64, WORD_BASE, Words, binary, bounded_batches, forget, in_chunks, int64, list_array, mix, order_key, saved, spans_hash
 
 WINDOW = 20
-GRAM = 8
+#: Text whose windows are counted before they are sent, and text whose windows make a bucket, about.
+CHUNK, BUCKET = 2 << 20, 8 << 20
+_PACKED = ("docs", "versions", "sizes", "starts", "hashes", "more")
+_TYPES = (np.int64, np.int32, np.uint32, np.uint32, np.uint64, np.uint16)
 
 
-def anchors_of(words: Words, n: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each window its first word; the anchor's first word; the anchor's hash."""
+def window_hashes(words: Words, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of 64 bits of each window, of different polynomials over different values of the words."""
+    return words.window_hashes(starts, n), spans_hash(mix(words.hashes ^ U64(0x2545F4914F6CDD1D)), starts, starts + n, WORD_BASE + 2)
+
+
+def not_first(first: np.ndarray, second: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Of windows with these hashes and places: which have the hashes of one at an earlier place."""
+    out = np.zeros(len(first), bool)
+    ordered = np.sort(first)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(twice):
+        return out
+    at = np.searchsorted(twice, first)
+    at[at == len(twice)] = 0
+    some = np.flatnonzero(twice[at] == first)
+    some = some[np.lexsort((start[some], doc[some], second[some], first[some]))]
+    h, x, d, s = first[some], second[some], doc[some], start[some]
+    new = np.concatenate(([True], (h[1:] != h[:-1]) | (x[1:] != x[:-1])))
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(some)), 0))
+    out[some] = (d != d[lead]) | (s != s[lead])
+    return out
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The values' first bytes, their second ones and so on, which Spark's compression of shuffles likes better."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
+def _pack(doc: np.ndarray, version: np.ndarray, start: np.ndarray, first: np.ndarray, second: np.ndarray) -> list[bytes]:
+    """Windows, those of one text together and in order."""
+    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]))))
+    sizes = np.diff(np.concatenate((new, [len(doc)])))
+    steps = np.diff(start.astype(np.uint32), prepend=np.uint32(0))  # modulo 2**32 where a text begins
+    return [_planes(x.astype(t)) for x, t in zip((doc[new], version[new], sizes, steps, first, second >> U64(48)), _TYPES, strict=True)]
+
+
+def _unpack(columns: list[bytes]) -> tuple[np.ndarray, ...]:
+    doc, version, sizes, steps, first, second = (_from_planes(x, t) for x, t in zip(columns, _TYPES, strict=True))
+    return np.repeat(doc, sizes), np.repeat(version, sizes), np.cumsum(steps, dtype=np.uint32).astype(np.int64), first, second
+
+
+def _chunk(raw: list[bytes], doc: np.ndarray, version: np.ndarray, n: int, buckets: int) -> Iterator[tuple[int, list[bytes]]]:
+    """The windows of some texts as (bucket, packed); those known to be repeated have no hashes any more."""
+    order = np.lexsort((version, doc))
+    new = np.concatenate(([True], (np.diff(doc[order]) != 0) | (np.diff(version[order]) != 0)))
+    one = order[new]  # repeated rows are one text
+    words = Words([raw[i] for i in one], KEEP)
     starts = words.windows(n)
     if not len(starts):
-        return starts, starts, np.zeros(0, np.uint64)
-    grams = words.window_hashes(np.arange(len(words.hashes) - gram + 1), gram)
-    packed = (grams & ~np.uint64(0xFFFFFFFF)) | np.arange(len(grams), dtype=np.uint64)  # equals: the leftmost
-    span, least = n - gram + 1, packed
-    done = 1
-    while done * 2 <= span:
-        least = np.minimum(least[:-done], least[done:])
-        done *= 2
-    if done < span:
-        least = np.minimum(least[: len(least) - (span - done)], least[span - done :])
-    at = (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    return starts, at, grams[at]
-
-
-def blocks_of(words: Words, n: int) -> tuple[np.ndarray, ...]:
-    """Of each block: first word, number of windows, the anchor's offset and hash, the block's hash."""
-    starts, at, anchor = anchors_of(words, n)
-    if not len(starts):
-        z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    new = np.concatenate(([True], (np.diff(at) != 0) | (np.diff(starts) != 1)))
-    first = np.flatnonzero(new)
-    count = np.diff(np.concatenate((first, [len(starts)])))
-    s, a = starts[first], at[first]
-    whole = spans_hash(words.hashes, s, s + count - 1 + n, WORD_BASE + 2)
-    return s, count, a - s, anchor[first], mix(whole + (count.astype(np.uint64) << np.uint64(8)) + (a - s).astype(np.uint64))
+        return
+    first, second = window_hashes(words, starts, n)
+    text = words.text[starts]
+    d, v, place = doc[one][text], version[one][text], starts - words.bounds[text]
+    again = not_first(first, second, d, place)
+    bucket = ((second & U64(0xFFFFFFFF)) % U64(buckets)).astype(np.int64)
+    bucket[again] = d[again] % buckets
+    key = bucket * 2 + again
+    by = np.argsort(key, kind="stable")
+    ends = np.flatnonzero(np.concatenate((np.diff(key[by]) != 0, [True]))) + 1
+    for a, b in zip(np.concatenate(([0], ends[:-1])), ends, strict=True):
+        at = by[a:b]
+        done = bool(again[at[0]])
+        packed = _pack(d[at], v[at], place[at], first[at], second[at])
+        yield int(bucket[at[0]]), [*packed[:4], b"", b""] if done else packed
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
@@ -67,96 +101,84 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataF
     return bounded_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), text.alias("text"), order_key(F.col(f"`{id_col}`")).alias("doc"), F.hash(text).alias("version"))
 
 
-def _blocks(texts: DataFrame, n: int) -> DataFrame:
-    """anchor, block, doc, version, at (first word * 64 + windows)."""
+def _windows(texts: DataFrame, n: int, buckets: int) -> DataFrame:
+    """All windows of all texts, packed: a row for each bucket of a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = binary(batch.column(1))
-            doc, version = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            for a, b in in_chunks(raw):
-                words = Words(raw[a:b], KEEP)
-                s, count, _, anchor, block = blocks_of(words, n)
-                t = words.text[s]
-                yield pa.RecordBatch.from_arrays([signed(anchor), signed(block), int64(doc[a:b][t]), pa.array(version[a:b][t], pa.int32()), int64((s - words.bounds[t]) * 64 + count)], ["anchor", "block", "doc", "version", "at"])
+            raw, doc, version = binary(batch.column(1)), batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            for a, b in in_chunks(raw, CHUNK):
+                for bucket, packed in _chunk(raw[a:b], doc[a:b], version[a:b], n, buckets):
+                    yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]], ["bucket", *_PACKED])
 
-    return texts.select("doc", "text", "version").mapInArrow(run, "anchor long, block long, doc long, version int, at long")
+    return texts.select("doc", "text", "version").mapInArrow(run, "bucket int, " + ", ".join(f"{c} binary" for c in _PACKED))
 
 
-def _windows(texts: DataFrame, n: int) -> DataFrame:
-    """The windows of chosen blocks of each text (blocks: array of at): anchor, window, doc, version, start."""
+def _count(windows: DataFrame, buckets: int) -> DataFrame:
+    """doc, version, starts binary: first words (int32) of the repeated windows of each text, bucket by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
+        done: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            raw, doc, version, chosen = binary(batch["text"]), batch["doc"].to_numpy(), batch["version"].to_numpy(), batch["blocks"].to_pylist()
-            for a, b in in_chunks(raw):
-                words = Words(raw[a:b], KEEP)
-                starts, _, anchor = anchors_of(words, n)
-                want = np.concatenate([np.asarray(c, np.int64) + words.bounds[i] * 64 for i, c in enumerate(chosen[a:b])])
-                first, count = want >> 6, want & 63
-                s = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-                t = words.text[s]
-                yield pa.RecordBatch.from_arrays([signed(anchor[np.searchsorted(starts, s)]), signed(words.window_hashes(s, n)), int64(doc[a:b][t]), pa.array(version[a:b][t], pa.int32()), int64(s - words.bounds[t])], ["anchor", "window", "doc", "version", "start"])
-
-    return texts.mapInArrow(run, "anchor long, window long, doc long, version int, start long")
-
-
-def repeated_spans(rows: DataFrame, n: int = WINDOW) -> DataFrame:
-    """doc, version, spans array<struct<start,end>>: spans of words that stand earlier, in order; they can overlap.
-
-    What is joined is written before: so both sides of each join are plain exchanges, whose hot partitions Spark can
-    split, and the shuffle files of each step can go before the next.
-    """
-    if not 2 * GRAM <= n <= 62 + GRAM:  # a block's number of windows has six bits
-        raise ValueError(f"windows have {2 * GRAM} to {62 + GRAM} words")
-    spark = rows.sparkSession
-    again = saved(_blocks(rows, n).groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"))
-    release(spark)
-    live = saved(_blocks(rows, n).join(again, "anchor", "left_semi"))
-    release(spark)
-    firsts = saved(live.groupBy("anchor", "block").agg(F.min(F.struct("doc", "at", "version")).alias("f"), F.count("*").alias("c")))
-    # Blocks that occur again: all but the first occurrence.
-    later = live.join(firsts.where("c > 1").select("anchor", "block", "f"), ["anchor", "block"]).where((F.col("doc") > F.col("f.doc")) | ((F.col("doc") == F.col("f.doc")) & (F.shiftright("at", 6) > F.shiftright("f.at", 6))))
-    by_block = later.select("doc", "version", F.shiftright("at", 6).alias("start"), (F.shiftright("at", 6) + F.col("at").bitwiseAND(63) - 1 + n).alias("end"))
-    # First occurrences among several blocks of one anchor: their windows, one by one.
-    several = firsts.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
-    several = saved(several)
-    chosen = firsts.join(several, "anchor", "left_semi").select(F.col("f.doc").alias("doc"), F.col("f.version").alias("version"), F.col("f.at").alias("at"))
-    chosen = chosen.groupBy("doc", "version").agg(F.sort_array(F.collect_list("at")).alias("blocks"))
-    windows = saved(_windows(rows.join(chosen, ["doc", "version"]).select("doc", "text", "version", "blocks"), n))
-    release(spark)
-    lead = saved(windows.groupBy("anchor", "window").agg(F.min(F.struct("doc", "start")).alias("f"), F.count("*").alias("c")).where("c > 1").drop("c"))
-    by_window = windows.join(lead, ["anchor", "window"]).where((F.col("doc") > F.col("f.doc")) | ((F.col("doc") == F.col("f.doc")) & (F.col("start") > F.col("f.start")))).select("doc", "version", "start", (F.col("start") + n).alias("end"))
-    spans = saved(by_block.unionAll(by_window).groupBy("doc", "version").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")))
-    for done in (again, live, firsts, several, windows, lead):
-        forget(done)
-    release(spark)
-    return spans
-
-
-def _cut(texts: DataFrame) -> DataFrame:
+            for row in batch.to_pylist():
+                columns = [row[c] for c in _PACKED]
+                if columns[4]:
+                    parts.append(_unpack(columns))
+                else:
+                    doc, version, sizes, steps = (_from_planes(x, t) for x, t in zip(columns[:4], _TYPES, strict=False))
+                    done.append((np.repeat(doc, sizes), np.repeat(version, sizes), np.cumsum(steps, dtype=np.uint32).astype(np.int64)))
+        if parts:
+            doc, version, start, first, second = (np.concatenate(x) for x in zip(*parts, strict=True))
+            parts.clear()
+            again = not_first(first, second, doc, start)
+            done.append((doc[again], version[again], start[again]))
+        if not done:
+            return
+        doc, version, start = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.lexsort((start, version, doc))
+        doc, version, start = doc[order], version[order], start[order]
+        ends = np.flatnonzero(np.concatenate(((np.diff(doc) != 0) | (np.diff(version) != 0), [True]))) + 1 if len(doc) else np.zeros(0, np.int64)
+        begins = np.concatenate(([0], ends[:-1])).astype(np.int64) if len(ends) else ends
+        for at in range(0, len(ends), 4096):
+            a, b = begins[at : at + 4096], ends[at : at + 4096]
+            starts = [np.unique(start[i:j]).astype(np.int32).tobytes() for i, j in zip(a, b, strict=True)]
+            yield pa.RecordBatch.from_arrays([int64(doc[a]), pa.array(version[a], pa.int32()), pa.array(starts, pa.binary())], ["doc", "version", "starts"])
+
+    return windows.repartitionById(buckets, F.col("bucket")).mapInArrow(run, "doc long, version int, starts binary")
+
+
+def repeated_windows(rows: DataFrame, n: int = WINDOW) -> DataFrame:
+    """doc, version, starts array<binary>: where windows of each text (doc, text, version) start that stand earlier."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET))
+    found = saved(_count(_windows(rows, n, buckets), buckets))
+    out = saved(found.groupBy("doc", "version").agg(F.collect_list("starts").alias("starts")))
+    forget(found)
+    return out
+
+
+def _spans(starts: list[bytes] | None, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal spans that windows cover."""
+    if not starts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    s = np.unique(np.frombuffer(b"".join(starts), np.int32)).astype(np.int64)
+    new = np.concatenate(([True], np.diff(s) > n))
+    return s[new], s[np.concatenate((new[1:], [True]))] + n
+
+
+def _cut(texts: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, n_words, removed, ends = [], [], [], [0]
             starts, stops = [], []
-            spans = batch.column(2)
-            bounds = spans.offsets.to_numpy() if len(spans) else np.zeros(1, np.int64)
-            s_all, e_all = (spans.values.field(k).to_numpy() for k in ("start", "end"))
-            for i, text in enumerate(binary(batch.column(1))):
+            for text, found in zip(binary(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 words = text.split()
                 n_words.append(len(words))
-                s, e = s_all[bounds[i] : bounds[i + 1]], e_all[bounds[i] : bounds[i + 1]]
-                if len(s):
-                    reach = np.maximum.accumulate(e)
-                    new = np.concatenate(([True], s[1:] > reach[:-1]))
-                    s, e = s[new], reach[np.concatenate((new[1:], [True]))]
-                    gone = int((e - s).sum())
-                    edges = zip([0, *e.tolist()], [*s.tolist(), len(words)], strict=True)
-                    kept.append(b" ".join([w for a, b in edges for w in words[a:b]]))
-                else:
-                    gone = 0
-                    kept.append(b" ".join(words))
-                removed.append(gone)
+                s, e = _spans(found, n)
+                removed.append(int((e - s).sum()))
+                edges = zip([0, *e.tolist()], [*s.tolist(), len(words)], strict=True)
+                kept.append(b" ".join([w for a, b in edges for w in words[a:b]]))
                 starts += s.tolist()
                 stops += e.tolist()
                 ends.append(len(starts))
@@ -173,11 +195,12 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id", te
     (smaller id, or the same id and an earlier start); all windows are judged on the input.  kept: the other words,
     joined by one space.
 
-    A null text has no words, as an empty one.  A null id comes before all others.  Rows that repeat an id and a text
-    are judged alike, and none is earlier than the other; different texts of one id are one document by their places.
+    A null text has no words, as an empty one.  A null id comes before all others; ids are integers.  Rows that repeat an
+    id and a text are judged alike, and none is earlier than the other; different texts of one id are one document by
+    their places.  An empty table gives none.  A text of any length is one row of a task.  Other columns stand inside
+    row, so that no name clashes.
     """
     keep = docs.columns if keep is None else keep
     rows = _rows(docs, id_col, text_col, keep)
-    spans = repeated_spans(rows, n)
-    none = F.array().cast("array<struct<start:long,end:long>>")
-    return _cut(rows.join(spans, ["doc", "version"], "left").select("row", "text", F.coalesce("spans", none).alias("spans")))
+    found = repeated_windows(rows, n)
+    return _cut(rows.join(found, ["doc", "version"], "left").select("row", "text", "starts"), n)

@@ -40,7 +40,7 @@ def test_every_plain_character_is_split_alike():
     assert len(plain) > 500
 
 
-@pytest.mark.parametrize("text", ["", "<|endoftext|>", "a" * 5000, "=" * 3001, " " * 997 + "x", "ab" * 1500, "é" * 800, "\n" * 400, "lorem" * 700])
+@pytest.mark.parametrize("text", ["", "<|endoftext|>", "a" * 5000, "=" * 3001, " " * 997 + "x", "ab" * 1500, "é" * 800, "\n" * 400, "lorem" * 700, "a" * 99_999, "ab" * 40_001, "abcde" * 3001 + "dcbaab" * 3000])
 def test_long_matches(text):
     assert list(CODEC.encode(text)) == LIBRARY.encode_ordinary(text)
 
@@ -75,3 +75,10 @@ def test_query(spark, duck):
         ids = LIBRARY.encode_ordinary(x)
         want.append((k, len(ids), sha(",".join(map(str, ids)).encode()), sha(x.encode())))
     assert sorted(map(tuple, queries.op4_byte_bpe(spark, DATA).collect())) == sorted(want)
+
+
+def test_other_ids_and_no_decoding(spark):
+    df = spark.createDataFrame([("x", "two words"), (None, None), ("y", "")], "doc_id string, text string")
+    out = byte_bpe.encode(df, RAW, P.PATTERN, decode=False)
+    assert out.columns == ["doc_id", "ids"]
+    assert sorted((str(r.doc_id), r.ids) for r in out.collect()) == [("None", []), ("x", LIBRARY.encode_ordinary("two words")), ("y", [])]
