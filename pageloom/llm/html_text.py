@@ -1,15 +1,15 @@
 """Main text of a web page by the distribution of text over its lines.
 
-Markup is stripped so that each block element gives one line.  A line counts for the length of its text; what stands in
-menus, headers, footers, sidebars, notices, adverts, forms and comments, and what is mostly links outside an article element,
-counts for nothing.
-Lengths are summed over sliding windows of LINES lines.  The text surges where the sum rises to SURGE, and dives where a
-window sums to zero; the lines between a surge and its dive are the main text.
-
-Article and main elements are a weight: where one holds text, its lines need no height to surge and those outside count
-for nothing, but for headings of the main element before its article.  That holds unless the distribution speaks against
-it: where lines outside surge to DOUBT times SURGE, and hold more than DOUBT times the text of the largest article (or of main),
-the story is outside and the element is a teaser: then main decides in place of article, or all lines count alike.
+Markup is stripped so that each block element gives one line.  A line weighs the length of its text; what stands in
+menus, headers, footers, sidebars, notices, adverts, forms and comments, and what is mostly links outside an article
+element, weighs nothing.  Weights are summed over sliding windows of LINES lines.  The text surges where the sum rises to
+SURGE, and dives where a window sums to zero; the lines between a surge and its dive are the main text.  A title up to
+TITLE lines before a surge belongs to it, with what stands between.
+
+Article and main elements add to the weight: a line of one that is believed weighs WEIGHT more, so that no line of an article dives.
+Where surges lie both in such an element and outside, the heavier side says what is trimmed: text outside that surges to
+DOUBT times SURGE, and is more than DOUBT times as long as the largest article, makes the element a teaser, and main or
+else the whole page is judged in its place; otherwise lines outside go, but for headings of main before its article.
 """
 
 from __future__ import annotations
@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 from .common import bounded_batches
 
 LINES, SURGE = 3, 120
+#: What each line of an article or main element weighs beside its text.
+WEIGHT = 2 * SURGE
+#: Lines before a surge among which its title (an h1) is looked for.
+TITLE = 5
 #: How much higher, and how much longer, the text outside an article element is where the element is not the article.
 DOUBT = 2
 #: A line whose text is links to this part or more counts for nothing outside an article element.
@@ -34,13 +38,17 @@ LINK_SHARE = 0.5
 # Element names of HTML, and words in class, id and role that tell what is not the article.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-NEVER = frozenset("aside button datalist dialog fieldset footer form label legend menu nav search select".split())
+FORMS = frozenset("button datalist form label optgroup option select".split())
+NEVER = FORMS | frozenset("aside dialog footer menu nav search".split())
 OUTSIDE_ARTICLE = frozenset(["header"])
 NOISE = frozenset(
     "ad ads adsense advert adverts advertisement advertisements advertising alert announcement banner breadcrumb breadcrumbs bylinks captcha comment comments consent cookie cookies copyright disclaimer discussion disqus dropdown footer form forms gdpr login masthead menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion reaction reactions recommended recommendations related replies reply respond search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription survey toolbar topbar widget widgets".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 NOT_NOISE = frozenset("has with without no".split())
+#: Words that say how an element is laid out and nothing of what it holds.  In an article a name makes an element noise
+#: only if it has no other words (a section "related-work" is the article's own, a box "related-posts" is not).
+LAYOUT = frozenset("area articles bar block body bottom box button buttons center col column container content el element footer group header holder icon icons inline inner item items js large left link links list main middle module page panel post posts right row section site slot small stories sub text the title top unit view wrap wrapper".split())
 #: Words that begin or end with these are noise as well (commentlist, sitefooter).
 NOISE_BEGINS, NOISE_ENDS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar"), ("banner", "comments", "footer", "menu", "nav", "sidebar")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -50,8 +58,12 @@ HEADERS, ARTICLES = frozenset("header pageheader siteheader topheader".split()),
 _RIGHTS = re.compile(r"^(?:©|\(c\)\s|copyright\b)|\ball rights reserved\b", re.I)
 
 #: Elements whose content is not text, whole.
-_RAW = re.compile(r"<(script|style|noscript|template|iframe|object|svg|math|canvas|textarea|title|audio|video|noframes|noembed|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S | re.I)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
+RAW = frozenset("script style noscript template iframe object svg math canvas textarea title audio video noframes noembed xmp".split())
+#: A tag whose quoted values may hold >; one that ends at the first >, for pages whose quotes don't match.  Neither turns
+#: back over what it has read, so that a broken page takes time in proportion to its length.
+_QUOTED = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+)>""")
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_ENDS = {name: re.compile(rf"</{name}\b[^>]*+>", re.I) for name in RAW}
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -59,9 +71,9 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _CLOSES_P = BLOCKS - {"li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "body", "html"}
 
 
-def is_noise(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element holds something other than the article."""
-    if name in NEVER or (name in OUTSIDE_ARTICLE and not in_article):
+def is_noise(name: str, attributes: str, in_article: bool, forms: bool = False) -> bool:
+    """Whether an element holds something other than the article.  forms: those of the page hold its text."""
+    if (name in NEVER and not (forms and name in FORMS)) or (name in OUTSIDE_ARTICLE and not in_article):
         return True
     if not attributes or name in ("html", "body", "main"):
         return False
@@ -71,19 +83,64 @@ def is_noise(name: str, attributes: str, in_article: bool) -> bool:
             return True
         if key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id"):
+        if key in ("class", "id") and name not in HEADINGS and name != "article":
             for part in value.split():
                 tokens = {t.lower() for t in _TOKEN.findall(part)}
                 if tokens & NOT_NOISE:
                     continue
-                if tokens & NOISE or any(t.startswith(NOISE_BEGINS) or t.endswith(NOISE_ENDS) for t in tokens):
+                bad = {t for t in tokens if t in NOISE or t.startswith(NOISE_BEGINS) or t.endswith(NOISE_ENDS)}
+                if bad and (not in_article or not tokens - bad - LAYOUT):
                     return True
                 if tokens & HEADERS and not tokens & ARTICLES and not in_article and name[0] != "h":
                     return True
     return False
 
 
-def lines_of(page: str) -> list[tuple[str | None, int, int, int, str]]:
+def tags(page: str) -> Iterator[tuple[str, str, str, str]]:
+    """The text before each tag, whether it closes (/), its name and its attributes; at the end the rest, no name.
+
+    Comments, declarations and elements whose content is no text count as white space.
+    """
+    at, text, pattern, n = 0, [], _QUOTED, len(page)
+    while True:
+        to = page.find("<", at)
+        if to < 0:
+            yield "".join(text) + page[at:], "", "", ""
+            return
+        text.append(page[at:to])
+        if page.startswith("<!--", to):
+            end = page.find("-->", to + 4)
+            at = n if end < 0 else end + 3
+            text.append(" ")
+        elif page.startswith("<![CDATA[", to):
+            end = page.find("]]>", to)
+            at = n if end < 0 else end + 3
+            text.append(" ")
+        elif page.startswith(("<!", "<?"), to):
+            end = page.find(">", to)
+            at = n if end < 0 else end + 1
+            text.append(" ")
+        elif (m := pattern.match(page, to)) or (pattern is _QUOTED and (m := _PLAIN.match(page, to))):
+            if pattern is _QUOTED and m.re is _PLAIN:
+                pattern = _PLAIN  # no tag from here on can be read with its quotes
+            at, name = m.end(), m[2].lower()
+            if name in RAW:
+                if not m[1] and not m[3].endswith("/"):
+                    end = _ENDS[name].search(page, at)
+                    at = end.end() if end else n
+                text.append(" ")
+                continue
+            yield "".join(text), m[1], name, m[3]
+            text = []
+        elif (page[to + 1 : to + 2].isalpha() or page[to + 1 : to + 2] == "/") and page.find(">", to) < 0:
+            yield "".join(text), "", "", ""  # a tag that never ends
+            return
+        else:
+            at = to + 1
+            text.append("<")
+
+
+def lines_of(page: str, forms: bool = False) -> list[tuple[str | None, int, int, int, str]]:
     """Of each line: its text; the length that counts; 2 in an article element, 1 in a main one, 3 in both, else 0; the
     number of the innermost of them; the name of the heading it is.  A line that is not the article's (noise) has the text None in place of its
     own."""
@@ -108,16 +165,13 @@ def lines_of(page: str) -> list[tuple[str | None, int, int, int, str]]:
         del stack[to:]
         noise, article, number = stack[-1][1:] if stack else (False, 0, 0)
 
-    at = 0
-    page = _RAW.sub(" ", page)
-    for m in _TAG.finditer(page):
-        piece = page[at : m.start()]
-        at = m.end()
+    for piece, closing, name, attributes in tags(page):
         if piece:
             text.append(piece)
             if in_link:
                 linked += len(piece.strip())
-        closing, name, attributes = m[1], m[2].lower(), m[3]
+        if not name:
+            break
         if name == "a":
             in_link = not closing
             continue
@@ -142,7 +196,7 @@ def lines_of(page: str) -> list[tuple[str | None, int, int, int, str]]:
             ends = ("p",) if name in _CLOSES_P else ("p", name, *{"dd": ("dt",), "dt": ("dd",), "tr": ("td", "th"), "td": ("th",), "th": ("td",)}.get(name, ()))
             while stack and stack[-1][0] in ends:
                 pop(len(stack) - 1)
-        bad = is_noise(name, attributes, bool(article))
+        bad = is_noise(name, attributes, bool(article), forms)
         if not block and not bad:
             continue  # bold and the like change nothing
         if bad and not noise:
@@ -154,7 +208,6 @@ def lines_of(page: str) -> list[tuple[str | None, int, int, int, str]]:
         noise, article, number = stack[-1][1:]
         if name in ("article", "main") and not bad:
             out.append((None, 0, article, number, ""))
-    text.append(page[at:])
     flush()
     return out
 
@@ -208,36 +261,50 @@ def titles_before(lines: list[tuple[str | None, int, int, int, str]]) -> list[in
     return found[::-1]
 
 
+def with_title(start: int, least: int, lines: list[tuple[str | None, int, int, int, str]]) -> int:
+    """Where a surge begins once an h1 a few lines before it is counted in."""
+    for i in range(start - 1, max(least, start - 1 - TITLE) - 1, -1):
+        if lines[i][4] == "h1" and lines[i][0]:
+            return i
+    return start
+
+
 def extract(page: str | None) -> str:
     """The main text: lines joined by an empty one."""
     if not page:
         return ""
     lines = lines_of(page)
+    if not any(line[1] for line in lines):
+        lines = lines_of(page, forms=True)  # a page that is one form
     counts, ranks, numbers = (np.array([line[k] for line in lines], np.int64) for k in (1, 2, 3))
     if not counts.any():
         return ""
     level = believed(counts, ranks, numbers)
-    if not level:
-        ranges = surges_and_dives(counts, SURGE) or surges_and_dives(counts, distribution(counts).max())
-        return "\n\n".join(t for a, b in ranges for t, *_ in lines[a:b] if t)
-    ranges = surges_and_dives(np.where(ranks & level, counts, 0), 1)
+    weights = np.where((counts > 0) & (ranks & level > 0), counts + WEIGHT, counts)
+    ranges = surges_and_dives(weights, SURGE) or surges_and_dives(weights, distribution(weights).max())
     kept = [lines[i][0] for i in titles_before(lines)] if level == 2 else []
-    return "\n\n".join(kept + [t for a, b in ranges for t, _, rank, *_ in lines[a:b] if t and rank & level])
+    least = 0
+    for a, b in ranges:
+        a = a if level else with_title(a, least, lines)
+        kept += [t for t, _, rank, *_ in lines[a:b] if t and (not level or rank & level)]
+        least = b
+    return "\n\n".join(kept)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
     """row struct (pages' columns, or those in keep), text: the main text of each whole page, row by row, no shuffle.
 
-    Null, empty and text-less pages give the empty text.  Unclosed elements end where their parents do; repeated rows
-    give repeated results; an empty table none.
+    Null, empty and text-less pages give the empty text.  Unclosed elements end where their parents do, and a tag that
+    never ends takes the rest of the page; a page of any length takes time in proportion to it.  Repeated rows give
+    repeated results; an empty table none.  Other columns stand inside row, so that no name clashes.
     """
     keep = pages.columns if keep is None else keep
     picked = bounded_batches(pages).select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{html_col}`").cast("string").alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([extract(x) for x in part.column(1).to_pylist()], pa.string())], ["row", "text"])
 
     return picked.mapInArrow(run, f"row {picked.schema['row'].dataType.simpleString()}, text string")

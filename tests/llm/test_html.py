@@ -51,6 +51,43 @@ def test_link_lines_of_an_article_stay():
     assert html_text.extract(page) == "\n\n".join([P1, *links, P1, "Mostly a link here"])
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<article><p>Body text here.</p><p><a href=x>Read the full statement</a></p></article>", ["Body text here.", "Read the full statement"]),
+        (f"<article><h2 class='related-work'>Related work</h2><section id='search-methods'><p>{P1}</p></section><fieldset><p>Boxed</p></fieldset><div class='related-posts'>no</div><div id='comments-area'>no</div></article>", ["Related work", P1, "Boxed"]),
+        (f"<div><h1><a href=x>Title</a></h1><p><a href=x>By someone</a></p><p><a href=x>tag</a></p><p>{P1}</p></div>", ["Title", "By someone", "tag", P1]),
+        (f"<div><h1>Title</h1><p>By one</p><p>{P1}</p><p>Short.</p></div><div class=x><a href=y>{P1}</a></div>", ["Title", "By one", P1, "Short."]),
+        (f"<body><form action=x><div><p>{P1}</p></div></form></body>", [P1]),
+        (f"<article><p title='a > b' data-x=\"it's\">{P1}</p><p>5 < 6 and 7<8</p></article>", [P1, "5 < 6 and 7<8"]),
+    ],
+)
+def test_nothing_of_the_article_is_dropped(page, want):
+    assert html_text.extract(page) == "\n\n".join(want)
+
+
+@pytest.mark.parametrize("piece", ["<a \"", "<a x=\"", "<a x='>", "<", "</", "<!--", "<p>", "<script>", "<a x=\"'", "<div class=\"a\""])
+def test_broken_pages_take_linear_time(piece):
+    import time
+
+    page = f"<p>{P1}</p>" + piece * (1_000_000 // len(piece))
+    began = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - began < (1 if piece != "<p>" else 8)
+
+
+def test_without_article_markup(duck):
+    """The distribution alone finds the same text, but for a few lines."""
+    total = found = extra = 0
+    for (page,) in duck.sql("select html from pages").fetchall():
+        want = html_text.extract(page).split("\n\n")
+        got = html_text.extract(re.sub(r"(</?)article", r"\1div", page)).split("\n\n")
+        total += sum(map(len, want))
+        found += sum(len(x) for x in want if x in got)
+        extra += sum(len(x) for x in got if x not in want)
+    assert found >= 0.99 * total and extra <= 0.01 * total
+
+
 def test_surges_and_dives():
     import numpy as np
 
