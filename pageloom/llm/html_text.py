@@ -62,6 +62,8 @@ RAW = frozenset("script style noscript template iframe object svg math canvas te
 #: A tag whose quoted values may hold >; one that ends at the first >, for pages whose quotes don't match.  Neither turns
 #: back over what it has read, so that a broken page takes time in proportion to its length.
 _QUOTED = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+)>""")
+#: What may begin a tag; any other < is text.
+_BEGIN = re.compile(r"<(?=[a-zA-Z/!?])")
 _PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*+>", re.I) for name in RAW}
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -103,8 +105,9 @@ def tags(page: str) -> Iterator[tuple[str, str, str, str]]:
     """
     at, text, pattern, n = 0, [], _QUOTED, len(page)
     while True:
-        to = page.find("<", at)
-        if to < 0:
+        begin = _BEGIN.search(page, at)
+        to = begin.start() if begin else n
+        if not begin:
             yield "".join(text) + page[at:], "", "", ""
             return
         text.append(page[at:to])
@@ -132,7 +135,7 @@ def tags(page: str) -> Iterator[tuple[str, str, str, str]]:
                 continue
             yield "".join(text), m[1], name, m[3]
             text = []
-        elif (page[to + 1 : to + 2].isalpha() or page[to + 1 : to + 2] == "/") and page.find(">", to) < 0:
+        elif page.find(">", to) < 0:
             yield "".join(text), "", "", ""  # a tag that never ends
             return
         else:
