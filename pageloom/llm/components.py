@@ -14,12 +14,12 @@ def _settled(df: DataFrame) -> tuple:
 
 
 def connected_components(edges: DataFrame, src: str, dst: str, rounds: int = 60) -> DataFrame:
-    """node long, component long (the least node of the component), for each node that has an edge to another.
+    """node long, component long (the least node of the component), written to the shared folder, for each node that has an edge to another.
 
     Alternating large-star and small-star steps: in turn each node links its larger neighbours, then its smaller ones
     and itself, to the least node around it, until all links are stars.  The number of rounds grows with the logarithm
     of the graph.  A node with many neighbours is a hot key of joins only, whose partitions Spark can split; the minima
-    are aggregated before the shuffle.  Each round is written to the shared folder, which cuts the lineage.  Loops,
+    are aggregated before the shuffle, and written, so that both sides of each join are plain exchanges.  Each round is written to the shared folder, which cuts the lineage.  Loops,
     repeated and null edges count for nothing.
     """
     a, b = F.greatest(src, dst), F.least(src, dst)  # a > b always
@@ -30,18 +30,21 @@ def connected_components(edges: DataFrame, src: str, dst: str, rounds: int = 60)
         if not state[0]:
             break
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = near = saved(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = saved(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = saved(large.groupBy("a").agg(F.min("b").alias("m")))
         joined = large.join(least, "a")
         small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).distinct()
         old, now = now, saved(small)
-        forget(large)
+        for done in (near, large, least):
+            forget(done)
         before, state = state, _settled(now)
         forget(old)
         if state == before:
             break
     else:
         raise RuntimeError(f"the components did not settle in {rounds} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out = saved(now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))
+    forget(now)
+    return out

@@ -134,7 +134,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """,
     "op9_near_dedup": r"""
-WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+WITH RECURSIVE f AS (SELECT doc_id, text, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+d AS (SELECT doc_id, CASE WHEN len(w) > 0 THEN w ELSE regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') END AS w FROM f),
 sh AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s, count(*) AS n FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0) GROUP BY ALL),
 total AS (SELECT doc_id, sum(n) AS t FROM sh GROUP BY doc_id),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
