@@ -11,12 +11,14 @@ from __future__ import annotations
 import html as references
 import re
 from dataclasses import dataclass
+from functools import reduce
 from html.entities import html5
+from urllib.parse import urljoin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import forget, saved
 from .components import connected_components
 
 
@@ -57,12 +59,20 @@ def address(url: Column) -> Column:
     return F.when(rest != "", F.concat(host, after))
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute's value, in quotes or without; empty if there is none."""
+    values = [F.regexp_extract(tag, rf"(?is)(?<![-\w]){name}\s*=\s*{v}", 1) for v in ('"([^"]*)"', "'([^']*)'", """([^"'\\s>]+)""")]
+    return F.when(values[0] != "", values[0]).when(values[1] != "", values[1]).otherwise(values[2])
+
+
 def link_targets(html: Column) -> Column:
-    """Addresses in canonical links and immediate redirects of a page's head."""
-    tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?i)(<(?:link|meta)\s[^>]*(?:canonical|refresh)[^>]*>)"), F.lit(1))
-    canonical = F.transform(F.filter(tags, lambda t: t.rlike(r"""(?i)^<link\s[^>]*\brel\s*=\s*["']?canonical\b""")), lambda t: F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1))
-    refresh = F.transform(F.filter(tags, lambda t: t.rlike(r"""(?i)^<meta\s[^>]*\bhttp-equiv\s*=\s*["']?refresh\b""")), lambda t: F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
-    return F.filter(F.concat(canonical, refresh), lambda u: u != "")
+    """Addresses in canonical links and immediate redirects of a page, as they are written."""
+    tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"""(?is)(<(?:link|meta)\s(?:[^<>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+>)"""), F.lit(1))  # no < inside, so that a broken page is read once
+    canonical = F.filter(tags, lambda t: t.rlike("(?i)^<link") & _attribute(t, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)"))
+    refresh = F.filter(tags, lambda t: t.rlike("(?i)^<meta") & _attribute(t, "http-equiv").rlike(r"(?i)^\s*refresh\s*$"))
+    hrefs = F.transform(canonical, lambda t: F.trim(_attribute(t, "href")))
+    urls = F.transform(refresh, lambda t: F.trim(F.regexp_extract(_attribute(t, "content"), r"(?is)\burl\s*=\s*(.+)$", 1)))
+    return F.filter(F.concat(hrefs, urls), lambda u: u != "")
 
 
 _REFERENCE = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+);?|([A-Za-z][A-Za-z0-9]*(?:;|(?![A-Za-z0-9=]))))")
@@ -70,57 +80,68 @@ _REFERENCE = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+);?|([A-Za-z][A-Za-z0-9
 
 def dereferenced(target: str | None) -> str | None:
     """A target with its character references decoded as in attributes: a name counts as one if it ends with a
-    semicolon, or is of the old ones and neither = nor a letter or digit follows.  Quotes around an address go."""
+    semicolon, or is of the old ones and neither = nor a letter or digit follows."""
     if target is None or "&" not in target:
         return target
-    out = _REFERENCE.sub(lambda m: references.unescape(m[0]) if m[1] is None else html5.get(m[1], m[0]), target)
-    return out[1:].split(out[0])[0] if out[:1] in ("'", '"') else out
+    return _REFERENCE.sub(lambda m: references.unescape(m[0]) if m[1] is None else html5.get(m[1], m[0]), target)
 
 
-def _absolute(target: Column, url: Column) -> Column:
-    """A target against the page's own address: absolute, //host, /path, or beside the page."""
-    origin, scheme = F.regexp_extract(url, r"^([^/?#]*//[^/?#]*)", 1), F.regexp_extract(url, r"^([^/?#]*)//", 1)
-    folder = F.regexp_extract(url, r"^([^/?#]*//[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
-    return F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target).when(target.startswith("//"), F.concat(scheme, target)).when(target.startswith("/"), F.concat(origin, target)).otherwise(F.concat(folder, target))
+def absolute(target: str | None, url: str | None) -> str | None:
+    """A target, its references decoded, against the page's own address: absolute, //host, /path, ?query, beside the page,
+    with ./ and ../ taken out.  None where either is no address."""
+    to = (dereferenced(target) or "").strip()
+    to = to[1:].split(to[0])[0] if to[:1] in ("'", '"') else to
+    try:
+        return urljoin(url or "", to) or None
+    except ValueError:
+        return None
 
 
-def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", default: str = "allow") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", redirects: DataFrame | None = None, default: str = "allow") -> DataFrame:
     """page_id, url, host, path, rule, component (null without an address), verdict: one row for each row of pages.
 
+    redirects: (from_url, to_url), absolute addresses of redirects met while crawling; aliases as canonical links are.
+
     Null and malformed urls have empty host and path, fit no rule and have no aliases, so their verdict is the default.
-    Null html has no edges.  A target counts with the decision on its absolute address, be it a row or not.  Rows with the same address are aliases of each other, whatever their ids; a third of all
-    rows may share one address, since edges are distinct pairs of addresses and counted before they are shuffled.
-    Ties of rules go to the one named first.  An empty table gives an empty result; extra columns are not read.
+    Null html has no edges; html and urls may be of any length.  A target counts with the decision on its absolute
+    address, be it a row or not.  Rows with the same address are aliases of each other, whatever their ids; a third of
+    all rows may share one address, since edges are distinct pairs of addresses and what rows are joined with is written
+    before, so that hot partitions can be split.  Ties of rules go to the one named first.  An empty table gives an
+    empty result; extra columns are not read.
     """
     url = F.col("_url")
     host, path = parse(url)
     base = pages.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{url_col}`").cast("string").alias("_url"), *([F.col(f"`{html_col}`").cast("string").alias("_html")] if html_col else []))
     rule, verdict = decide(F.col("_host"), F.col("_path"), rules)
     judged = base.withColumns({"_host": host, "_path": path}).withColumns({"_rule": rule, "_own": verdict, "_address": address(url)})
-    plain = judged.select("_id", "_url", "_host", "_path", "_rule", "_own", "_address")
-    if not html_col:
-        edges = None
-    else:
+    plain = judged.select("_id", "_url", "_host", "_path", "_rule", "_own", "_address", F.xxhash64("_address").alias("_node"))
+    hops = []
+    if html_col:
         linked = judged.where(F.col("_html").rlike("(?i)canonical|refresh") & F.col("_address").isNotNull())
-        decoded = F.udf(dereferenced, "string", useArrow=True)
-        hop = linked.select("_address", F.explode(link_targets(F.col("_html"))).alias("_to"), "_url").withColumn("_to", decoded("_to"))
-        named = hop.select(F.col("_address").alias("_from"), _absolute(F.col("_to"), F.col("_url")).alias("_target"))
-        pairs = named.select("_from", address(F.col("_target")).alias("_to"), decide(*parse(F.col("_target")), rules)[1].alias("_own")).where("_to is not null and (_from <> _to or _own is not null)").distinct()
-        edges = saved(pairs.select("_from", "_to", "_own", F.xxhash64("_from").alias("_a"), F.xxhash64("_to").alias("_b")))
-    node = F.xxhash64("_address")
-    named_too = None
-    if edges is None or edges.isEmpty():
-        component = plain.withColumn("_component", F.when(F.col("_address").isNotNull(), node))
-    else:
-        labels = connected_components(edges, "_a", "_b")
-        component = plain.withColumn("_node", F.when(F.col("_address").isNotNull(), node)).join(labels, F.col("_node") == F.col("node"), "left").withColumn("_component", F.coalesce("component", "_node"))
-        targets = edges.where("_own is not null").select("_b", "_own").distinct()
-        named_too = targets.join(labels, F.col("_b") == F.col("node"), "left").select(F.coalesce("component", "_b").alias("_component"), "_own")
-    own = component.where("_own is not null and _component is not null").select("_component", "_own")
-    decided = (own if named_too is None else own.unionAll(named_too)).groupBy("_component").agg(F.min("_own").alias("_got"))  # allow < block: an allow takes precedence
-    out = component.join(decided.withColumnRenamed("_component", "_c"), F.col("_component") == F.col("_c"), "left")
-    return out.select(
+        resolved = F.udf(absolute, "string", useArrow=True)
+        hops.append(linked.select("_url", F.explode(link_targets(F.col("_html"))).alias("_to")).select(F.col("_url").alias("_from"), resolved("_to", "_url").alias("_to")))
+    if redirects is not None:
+        hops.append(redirects.select(F.col("from_url").cast("string").alias("_from"), F.col("to_url").cast("string").alias("_to")))
+    component, ends = plain.withColumn("_component", F.col("_node")), None
+    if hops:
+        both = reduce(DataFrame.unionAll, hops)
+        pairs = both.select(*[c for n in ("_from", "_to") for c in (address(F.col(n)).alias(n), decide(*parse(F.col(n)), rules)[1].alias(f"{n}_own"))])
+        pairs = pairs.where("_from is not null and _to is not null").distinct()
+        edges = saved(pairs.select("_from_own", "_to_own", F.xxhash64("_from").alias("_a"), F.xxhash64("_to").alias("_b")))
+        if not edges.isEmpty():
+            labels = connected_components(edges, "_a", "_b")
+            component = plain.join(labels, F.col("_node") == F.col("node"), "left").withColumn("_component", F.coalesce("component", "_node"))
+            named = edges.select(F.col("_a").alias("_n"), F.col("_from_own").alias("_own")).unionAll(edges.select("_b", "_to_own")).where("_own is not null").distinct()
+            ends = named.join(labels, F.col("_n") == F.col("node"), "left").select(F.coalesce("component", "_n").alias("_component"), "_own")
+    own = component.where("_own is not null and _address is not null").select("_component", "_own")
+    decided = (own if ends is None else own.unionAll(ends)).groupBy(F.col("_component").alias("_c")).agg(F.min("_own").alias("_got"))  # allow < block: an allow takes precedence
+    decided = saved(decided)
+    if hops:
+        forget(edges)
+    kept = ["_id", "_url", "_host", "_path", "_rule", "_own"]
+    found = component.where("_address is not null").join(decided, F.col("_component") == F.col("_c"), "left").select(*kept, "_component", "_got")
+    nowhere = plain.where("_address is null").select(*kept, F.lit(None).cast("long").alias("_component"), F.lit(None).cast("string").alias("_got"))
+    return found.unionAll(nowhere).select(
         F.col("_id").alias(id_col), F.col("_url").alias("url"), F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.col("_component").alias("component"),
         F.coalesce("_own", "_got", F.lit(default)).alias("verdict"),
     )

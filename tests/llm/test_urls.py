@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pageloom.llm import queries
 from pageloom.llm.components import connected_components
 from pageloom.llm.queries import RULES
-from pageloom.llm.url_rules import dereferenced, filter_urls
+from pageloom.llm.url_rules import absolute, dereferenced, filter_urls
 
 
 def pages(spark, rows):
@@ -57,7 +57,25 @@ def test_character_references_in_targets(spark):
         ("http://b.com/1", link("http:&#47;/b.com/2?a=1&copy=2&#x26;c=3")), ("http://b.com/2?a=1&copy=2&c=3", link("http://s.net/2")),
     ])
     assert [got[i][3] for i in range(4)] == ["block"] * 4
-    assert [dereferenced(x) for x in (None, "a&b", "&eacute;&eacute", "&ampx;&amp=&nosuch;", "it&#39;s", "&quot;http://x/&quot;")] == [None, "a&b", "éé", "&ampx;&amp=&nosuch;", "it's", "http://x/"]
+    assert [dereferenced(x) for x in (None, "a&b", "&eacute;&eacute", "&ampx;&amp=&nosuch;", "it&#39;s", "&quot;http://x/&quot;")] == [None, "a&b", "éé", "&ampx;&amp=&nosuch;", "it's", '"http://x/"']
+
+
+def test_ways_to_write_a_link(spark):
+    block = "http://s.net/1"
+    got = verdicts(spark, [
+        ("http://a.com/x/1", f"<link title='a > b' rel='alternate canonical' href='{block}'>"), ("http://a.com/x/2", f"<link href={block} rel=canonical>"), ("http://a.com/x/y/3", link("../2")), ("http://a.com/x/4", link("./2")),
+        ("http://a.com/x/5", f"""<meta content="0; URL='{block}'" http-equiv=Refresh>"""), ("http://a.com/x/6", link("?q=1")), ("http://a.com/x/6?q=1", link("&quot;http://s.net/2&quot;")),
+        ("http://a.com/7", f"<link rel='not-canonical' href='{block}'>"), ("http://a.com/8", link("http://[bad")), ("http://a.com/9", "<link rel=canonical " * 20000),
+    ])
+    assert [got[i][3] for i in range(10)] == ["block"] * 7 + ["allow"] * 3
+    assert absolute(None, None) is None and absolute("b", "http://x/a/c") == "http://x/a/b"
+
+
+def test_redirects_as_a_table_and_hot_addresses(spark):
+    hops = spark.createDataFrame([("http://a.com/1", "http://b.com/1"), ("http://b.com/1", "http://s.net/"), (None, "http://s.net/"), ("http://c.com/", None)], "from_url string, to_url string")
+    rows = [(0, "http://a.com/1", None), (1, "http://b.com/1", None), (2, "http://c.com/", None)] + [(i, "http://a.com/1" if i % 2 else None, None) for i in range(3, 300)]
+    got = {r.page_id: r.verdict for r in filter_urls(pages(spark, [(*r, "x", "y", 1) for r in rows]), RULES, redirects=hops).collect()}
+    assert got == {i: "block" if i < 2 or (i > 2 and i % 2) else "allow" for i in range(300)}
 
 
 def test_empty(spark):
