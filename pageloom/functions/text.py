@@ -73,5 +73,7 @@ def blob_target(source: Column, name: Column) -> Column:
     return F.concat_ws("/", stem(source), name)
 
 
-def truthy(c: Column, default: Column) -> Column:
-    return F.coalesce(c, default)
+def stem_of(path: str) -> str:
+    """stem() of a path that is known."""
+    name = path.rsplit("/", 1)[-1]
+    return name.rsplit(".", 1)[0] if "." in name[1:] else name

@@ -7,12 +7,8 @@ from pyspark.sql import functions as F
 
 
 def wrap(text: Column, width: int) -> Column:
-    """The text's lines of at most so many characters; a longer word has a line of its own."""
-    words = F.filter(F.split(text, " "), lambda w: w != "")
-
-    def add(done: Column, word: Column) -> Column:
-        fits = F.length(F.substring_index(done, "\n", -1)) + 1 + F.length(word) <= width
-        return F.when(done == "", word).when(fits, F.concat(done, F.lit(" "), word)).otherwise(F.concat(done, F.lit("\n"), word))
-
-    joined = F.aggregate(words, F.lit(""), add)
-    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, "\n"))
+    """The text's lines of at most so many characters; a longer word has a line of its own.  One pass over the text: each
+    line is the longest run of words that fits, or else one word."""
+    words = F.array_join(F.filter(F.split(text, " "), lambda w: w != ""), " ")
+    fits = f"[^ ](?:.{{0,{width - 2}}}[^ ])?" if width > 1 else "[^ ]"
+    return F.regexp_extract_all(words, F.lit(f"(?s)({fits}|[^ ]+)(?: |$)"), F.lit(1))

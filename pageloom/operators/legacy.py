@@ -36,5 +36,5 @@ def segments(pages: DataFrame, pdf: str = "pdf_id", page: str = "page_idx", text
 def require_segments(found: DataFrame) -> DataFrame:
     """found, or an error if no PDF has a page with text."""
     if found.isEmpty():
-        raise ValueError("No non-empty split documents were produced.")
+        raise ValueError("no page has text: there is nothing to split")
     return found

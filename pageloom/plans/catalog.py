@@ -68,6 +68,11 @@ def group_summary(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("pdf_id", "group_no", "start_page", "end_page", "n_pages", "raw_title", "base_name", "dup_no", "file_name")
 
 
+def group_members(spark: SparkSession, folder: str) -> DataFrame:
+    out = grouping.summarise(grouping.with_groups(inputs.signals(spark, folder)))
+    return out.select("pdf_id", "group_no", F.array_join("page_idxs", ",").alias("page_idxs"))
+
+
 def split_manifest(spark: SparkSession, folder: str) -> DataFrame:
     out = grouping.manifest(signals.with_text_signals(inputs.pages(spark, folder)))
     return out.select("pdf_id", "group_no", "start_page", "end_page", "n_pages", "raw_title", "file_name")
@@ -103,7 +108,7 @@ def sanitize_filename(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sanitize_title(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.read(spark, folder, "documents").select("doc_id", t.sanitize_title(F.substring(F.coalesce("text", F.lit("")), 1, 60)).alias("title"))
+    return inputs.read(spark, folder, "documents").select("doc_id", t.sanitize_title(F.coalesce("text", F.lit(""))).alias("title"))
 
 
 def title_case(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,7 +185,7 @@ def pdf_discovery(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wrapped_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.read(spark, folder, "documents").select("doc_id", F.array_join(wrap(F.substring(F.coalesce("text", F.lit("")), 1, 400), 24), "|").alias("lines"))
+    return inputs.read(spark, folder, "documents").select("doc_id", F.array_join(wrap(F.coalesce("text", F.lit("")), 24), "|").alias("lines"))
 
 
 def largest_image(spark: SparkSession, folder: str) -> DataFrame:
@@ -193,7 +198,7 @@ def largest_image(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        page_lines, strip_len_route, doc_marker_pages, page_n_of_m, meaningful_lines, marker_titles, text_page_signals, group_pages, group_summary, split_manifest, legacy_starts, legacy_segments,
+        page_lines, strip_len_route, doc_marker_pages, page_n_of_m, meaningful_lines, marker_titles, text_page_signals, group_pages, group_summary, group_members, split_manifest, legacy_starts, legacy_segments,
         ocr_flatten, ocr_best_title, image_page_signals, sanitize_filename, sanitize_title, title_case, whole_documents, first_page_with, document_json, metadata, form_types, routeone_fields,
         dealertrack_fields, unique_phones, credit_app_records, opt_in_sheet, vision_requests, credit_app_selection, pdf_discovery, wrapped_lines, largest_image,
     )

@@ -19,7 +19,8 @@ _PREFIX = """CASE CAST(doc_id % 11 AS INT)
  WHEN 6 THEN concat('Page 0 of 9', chr(10), 'Make Trim VIN', chr(10), 'A. Section Head', chr(10), 'Bill Of Sale', chr(10))
  WHEN 7 THEN concat('Non-Authoritative Copy', chr(10), 'DOCUMENT 1 OF', chr(10), '2', chr(10), 'O''NEIL 2ND NOTICE', chr(10))
  ELSE '' END"""
-_TEXT = f"CASE WHEN doc_id % 13 = 5 THEN '' ELSE concat({_PREFIX}, CASE WHEN doc_id % 3 = 0 THEN '' ELSE coalesce(text, '') END) END"
+# Made-up lines stand before each whole text; short and empty pages are those whose text is.
+_TEXT = f"concat({_PREFIX}, coalesce(text, ''))"
 
 PAGES = f"""pages_src AS (SELECT source AS pdf_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS INT) AS page_idx, {_TEXT} AS text FROM documents)"""
 

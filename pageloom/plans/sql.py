@@ -164,6 +164,7 @@ ORACLE_SQL: dict[str, str] = {
     "text_page_signals": q(PAGES, LINED, MARKED, FOOT, TEXT_SIGNALS, "SELECT * FROM sig"),
     "group_pages": q(SIGNALS, grouped("signals_src"), "SELECT pdf_id, page_idx, group_no FROM grouped"),
     "group_summary": q(SIGNALS, grouped("signals_src"), "SELECT pdf_id, group_no, start_page, end_page, n_pages, raw_title, base_name, dup_no, file_name FROM made"),
+    "group_members": q(SIGNALS, grouped("signals_src"), "SELECT pdf_id, group_no, string_agg(CAST(page_idx AS VARCHAR), ',' ORDER BY page_idx) AS page_idxs FROM grouped GROUP BY pdf_id, group_no"),
     "split_manifest": q(PAGES, LINED, MARKED, FOOT, TEXT_SIGNALS, grouped("sig"), "SELECT pdf_id, group_no, start_page, end_page, n_pages, raw_title, file_name FROM made"),
     "legacy_starts": q(PAGES, STARTS, "SELECT pdf_id, page_idx FROM starts WHERE is_start"),
     "legacy_segments": q(PAGES, STARTS, SEGMENTS, "SELECT pdf_id, document_no, start_page, end_page, base_name, dup_no, base_name || CASE WHEN dup_no > 1 THEN ' (' || dup_no || ')' ELSE '' END || '.pdf' AS file_name FROM named"),
@@ -179,7 +180,7 @@ ORACLE_SQL: dict[str, str] = {
  CASE WHEN seen AND f IS NULL THEN coalesce(c, s) END AS title_text, CASE WHEN NOT seen THEN NULL WHEN f IS NOT NULL THEN f[1] WHEN t IS NOT NULL THEN 1 END AS page_num_in_doc, CASE WHEN NOT seen THEN NULL WHEN f IS NOT NULL THEN f[2] ELSE t END AS total_pages_in_doc FROM x""",
     ),
     "sanitize_filename": f"SELECT p_partkey, {filename(_NAME)} AS name, 'Untitled' AS nothing FROM part",
-    "sanitize_title": f"SELECT doc_id, {sane("substr(coalesce(text, ''), 1, 60)")} AS title FROM documents",
+    "sanitize_title": f"SELECT doc_id, {sane("coalesce(text, '')")} AS title FROM documents",
     "title_case": f"SELECT p_partkey, {titled(_LOUD)} AS title, {_LOUD} = upper({_LOUD}) AND {_LOUD} <> lower({_LOUD}) AS is_upper, p_name = upper(p_name) AND p_name <> lower(p_name) AS name_is_upper, false AS no_letter FROM part",
     "whole_documents": q(CONVERSATIONS, f"d AS (SELECT pdf_id, count(*) AS page_count, coalesce({_JOINED}, '') AS c, string_agg(coalesce(text, ''), chr(10) ORDER BY page_idx) AS a, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS total_chars FROM conv_src GROUP BY pdf_id)", "SELECT pdf_id, page_count, length(c) AS combined_len, md5(c) AS combined_md5, length(a) AS all_len, md5(a) AS all_md5, total_chars, total_chars >= 50 * page_count AS text_heavy FROM d"),
     "first_page_with": q(CONVERSATIONS, "SELECT pdf_id, min(page_idx) FILTER (WHERE contains(text, 'the')) AS first_page FROM conv_src GROUP BY pdf_id"),
@@ -194,6 +195,6 @@ ORACLE_SQL: dict[str, str] = {
     "vision_requests": q(FORMS, f"k AS (SELECT *, {KIND} AS kind FROM forms)", "SELECT source_file, CASE WHEN kind <> 'unknown' AND text_heavy THEN checkbox_page END AS page FROM k WHERE kind = 'unknown' OR NOT text_heavy OR (kind = 'dealertrack' AND checkbox_page IS NOT NULL)"),
     "credit_app_selection": q(PAGES, LINED, MARKED, FOOT, TEXT_SIGNALS, grouped("sig"), "SELECT pdf_id, group_no FROM made WHERE file_name = 'Credit_Application.pdf'"),
     "pdf_discovery": q(f"f AS (SELECT page_id, {_PATH} AS path FROM pages)", f"SELECT page_id, ends_with(path, '.pdf') AS in_folder_scan, {_STEM} || '.json' AS output_name, {_STEM} || '/part.pdf' AS blob FROM f WHERE ends_with(lower(path), '.pdf')"),
-    "wrapped_lines": "SELECT doc_id, coalesce(replace(list_reduce(w, lambda a, x: a || CASE WHEN length(split_part(a, chr(10), -1)) + 1 + length(x) <= 24 THEN ' ' ELSE chr(10) END || x), chr(10), '|'), '') AS lines FROM (SELECT doc_id, CASE WHEN len(w) > 0 THEN w END AS w FROM (SELECT doc_id, list_filter(string_split(substr(coalesce(text, ''), 1, 400), ' '), lambda y: y <> '') AS w FROM documents))",
+    "wrapped_lines": r"SELECT doc_id, array_to_string(regexp_extract_all(array_to_string(list_filter(string_split(coalesce(text, ''), ' '), lambda x: x <> ''), ' '), '(?s)([^ ](?:.{0,22}[^ ])?|[^ ]+)(?: |$)', 1), '|') AS lines FROM documents",
     "largest_image": "SELECT l_orderkey AS page, CAST(l_quantity AS INT) AS width, l_suppkey % 7 AS height, (CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey) * 1000000 + l_suppkey AS image_no FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(l_quantity AS INT) * (l_suppkey % 7) DESC, (CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey) * 1000000 + l_suppkey) AS k FROM lineitem) WHERE k = 1",
 }

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .files import bounded
+
 # How wide a page is drawn, and the strips of it that are read.
 RASTER_WIDTH = 1500
 TOP_STRIP, BOTTOM_STRIP = 0.25, 0.15
@@ -32,6 +34,19 @@ def largest_image(images: DataFrame, page: str, width: str = "width", height: st
     return images.groupBy(page).agg(F.max_by(F.struct(*rest), F.struct(area, -F.col(order))).alias("image"))
 
 
+def rasters(pdfs: DataFrame, draw: Callable[[bytes, int], bytes | None]) -> DataFrame:
+    """pdf_id, page_idx, raster of the pages asked for (pdf_id, content, pages); a PDF's bytes are sent once."""
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            for pdf, content, wanted in zip(batch["pdf_id"], batch["content"], batch["pages"], strict=True):
+                yield pd.DataFrame({"pdf_id": pdf, "page_idx": [int(i) for i in wanted], "raster": [draw(bytes(content), int(i)) for i in wanted]})
+
+    return bounded(pdfs).select("pdf_id", "content", "pages").mapInPandas(run, "pdf_id string, page_idx int, raster binary")
+
+
 def read_strips(pages: DataFrame, strip: str, model: Callable[[], Callable[[bytes, str], list]], content: str = "raster") -> DataFrame:
     """pages with the column strip (top or bottom): the OCR result of that strip of the raster; an empty one without a
     raster.  model() makes a reader, once in each worker; reader(raster, strip) gives (corners, text, confidence) of each
@@ -47,4 +62,4 @@ def read_strips(pages: DataFrame, strip: str, model: Callable[[], Callable[[byte
             yield batch.assign(**{strip: out})
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
-    return pages.mapInPandas(run, f"{schema}, {strip} {OCR_RESULT}")
+    return bounded(pages).mapInPandas(run, f"{schema}, {strip} {OCR_RESULT}")

@@ -1,13 +1,17 @@
 """Whole jobs, with stand-ins for PDFs (texts parted by form feeds), OCR and vision."""
 
+import json
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
 from pageloom import __main__ as cli
+from pageloom.functions.text import stem_of
 from pageloom.functions.wrap import wrap
 from pageloom.operators import grouping, legacy, signals
 from pageloom.plans import jobs
-from pageloom.sources import ocr, synthetic, vision
+from pageloom.sources import backends, files, objects, ocr, sinks, synthetic, vision
 
 
 def parse(content):
@@ -36,28 +40,39 @@ def folder(tmp_path):
 def test_extract(spark, folder, capsys):
     out = str(folder / "out")
     assert cli.main([str(folder / "in"), "--output-dir", out, "--recursive"], parse) == 0
-    assert sorted(capsys.readouterr().out.split()) == [f"{out}/a.txt", f"{out}/b.txt"]
-    values = [r.value for r in spark.read.text(out, wholetext=True).collect()]
-    assert any("one\n\ntwo" in v for v in values), values
-    assert jobs.extract(spark, str(folder / "in"), out, "json", parse=parse).count() == 1
+    assert capsys.readouterr().out.split() == [f"{out}/a.txt", f"{out}/b.txt"]
+    assert (folder / "out" / "b.txt").read_text() == "one\n\ntwo"
+    (folder / "in" / "sub" / "a.pdf").write_text("caf\u00e9")
+    made = jobs.extract(spark, str(folder / "in"), out, "json", True, parse).orderBy("source_path").collect()
+    assert [r.file_name for r in made] == ["a.json", "a (2).json", "b.json"]  # none replaces another
+    text = (folder / "out" / "a (2).json").read_text()
+    assert text.startswith('{\n  "source_path": "file:') and '\n  "page_count": 1,\n' in text and "caf\\u00e9" in text and json.loads(text)["pages"] == [{"page_number": 1, "text": "caf\u00e9"}]
     with pytest.raises(ValueError):
         jobs.extract(spark, str(folder), out, parse=parse)
 
 
 def test_split(spark, folder, capsys):
-    seen = lambda pdf, name, content, pages: f"{name}:{pages}"
-    assert cli.main([str(folder / "in" / "a.pdf"), "--split-documents"], parse, seen) == 0
-    assert capsys.readouterr().out.splitlines() == ["[1] -> Applicable_Law.pdf", "[2] -> Credit_Application (2).pdf", "[3] -> Credit_Application.pdf"]
-    assert cli.main(["*", "--split-documents", "--store", str(folder / "in"), "--split-output-dir", str(folder / "out")], parse, seen) == 0
-    said = capsys.readouterr().out
-    assert "a/Applicable_Law.pdf" in said and "Opt-in results (1 record(s))" in said
+    out = str(folder / "out")
+
+    def cut(pdf, name, content, pages):
+        return objects.put(f"{out}/{stem_of(pdf)}", name, str(pages).encode())
+
+    assert cli.main([str(folder / "in" / "a.pdf"), "--split-documents", "--split-output-dir", out], parse, cut) == 0
+    assert capsys.readouterr().out.splitlines() == ["[1] -> Applicable_Law.pdf", "[2] -> Credit_Application.pdf", "[3] -> Credit_Application (2).pdf"]
+    (folder / "in" / "c.pdf").write_text(PDF)
+    assert cli.main(["*", "--split-documents", "--store", str(folder / "in"), "--split-output-dir", out], parse, cut) == 0
+    said = capsys.readouterr().out.splitlines()
+    assert said[:6] == ["[1] -> a/Applicable_Law.pdf", "[2] -> a/Credit_Application.pdf", "[3] -> a/Credit_Application (2).pdf", "[4] -> b/pages_1-2.pdf", "[5] -> c/Applicable_Law.pdf", "[6] -> c/Credit_Application.pdf"] or said
+    assert "Opt-in results (2 record(s))" in said[-1] and said[-1].endswith(".xlsx")
+    for pdf in "ac":  # documents of one name in two PDFs both stay
+        assert (folder / "out" / pdf / "Credit_Application.pdf").read_text() == "[2]"
 
 
 def test_split_records_and_markers(spark, folder):
     path = str(folder / "in" / "a.pdf")
     got = jobs.split_records(spark, path, parse).collect()
     assert [(r.source_file, r.form_type, r.opt_in_status) for r in got] == [("a/Credit_Application.pdf", "dealertrack", "not_found")]
-    made = jobs.split_by_markers(spark, path, lambda pdf, name, content, pages: f"{name}:{pages}", parse)
+    made = jobs.split_by_markers(spark, path, lambda pdf, name, content, pages: f"{name}:{pages}", parse, str(folder / "out"))
     assert [r.written for r in made.collect()] == ["Applicable Law.pdf:[0, 1, 2, 3]"]
 
 
@@ -72,7 +87,7 @@ def test_bad_input_ends_with_status_2(spark, folder, argv):
 def test_forms_to_sheet(spark, folder):
     out = str(folder / "sheet")
     assert jobs.forms_to_sheet(spark, str(folder / "forms"), out, parse) == 3
-    rows = [tuple(x or "" for x in r)[:6] for r in spark.read.option("header", "true").csv(out).collect()]
+    rows = [tuple(x or "" for x in r)[:6] for r in spark.read.option("header", "true").csv(out).orderBy(F.input_file_name()).collect()]
     assert rows == [("Doe", "John", "312-555-0100", "", "", "opted_out"), ("", "", "", "", "", "error"), ("", "", "", "", "", "unclear")]
     assert jobs.forms_to_sheet(spark, str(folder / "in"), str(folder / "none"), parse) == 0 and not (folder / "none").exists()
     assert jobs.result_name("20260102_030405") == "opt_in_results_20260102_030405"
@@ -105,6 +120,76 @@ def test_vision(spark):
     assert {r.source_file: (r.answer, r.error) for r in vision.answers(asked, contents, client).collect()} == {"a": ('{"opt_in_status": "None 150"}', None), "b": ('{"opt_in_status": "3 300"}', None), "c": (None, "refused")}
 
 
+def test_workbook(tmp_path):
+    place = f"{tmp_path}/x.xlsx"
+    assert sinks.write_workbook(["Last Name", "Consent"], iter([("O'Neil & <Co>", ""), ("\x07ü", "opted_in")]), place) == 2
+    with zipfile.ZipFile(place) as z:
+        sheet, book = z.read("xl/worksheets/sheet1.xml").decode(), z.read("xl/workbook.xml").decode()
+    assert 'name="Opt-In Results"' in book and '<c r="A1" t="inlineStr" s="1"><is><t xml:space="preserve">Last Name</t>' in sheet
+    assert "O'Neil &amp; &lt;Co&gt;" in sheet and ">ü<" in sheet and sheet.count("<row ") == 3
+
+
+def test_scanned_pages_are_split_by_ocr(spark, tmp_path):
+    (tmp_path / "s.pdf").write_text("1\x0c2\x0c3")
+    box = [(0, 0), (9, 0), (9, 30), (0, 30)]
+
+    def reader():
+        said = {("0", "top"): "Bill of Sale", ("1", "bottom"): "Page 2 of 2", ("2", "top"): "Odometer Statement"}
+        return lambda raster, strip: [(box, said[raster.decode(), strip], 0.9)] if (raster.decode(), strip) in said else []
+
+    read = jobs.ocr_reader(reader, lambda content, i: str(i).encode())
+    made = jobs.split(spark, f"{tmp_path}/s.pdf", lambda pdf, name, content, pages: str(pages), parse, read, f"{tmp_path}/out").orderBy("group_no").collect()
+    assert [(r.file_name, r.written) for r in made] == [("Bill_of_Sale.pdf", "[0, 1]"), ("Odometer_Statement.pdf", "[2]")]
+
+
+def test_vision_client(monkeypatch):
+    monkeypatch.delenv("AZURE_OPENAI_ENDPOINT", raising=False)
+    with pytest.raises(OSError):
+        backends.vision_client()()
+    monkeypatch.setenv("AZURE_OPENAI_ENDPOINT", "e")
+    monkeypatch.setenv("AZURE_OPENAI_API_KEY", "k")
+    seen = []
+
+    class Opened:
+        def __init__(self, said):
+            self.said, self.chat, self.completions, self.choices, self.message = said, self, self, [self], self
+
+        def create(self, **asked):
+            seen.append(asked)
+            return self
+
+        @property
+        def content(self):
+            return self.said
+
+    ask = backends.vision_client(draw=lambda content, page, dpi: b"png" if page else None, open_client=lambda e, k: Opened('{"a": 1}'))()
+    assert ask("p", b"", 0, 150) == "{}" and not seen  # a page without an image is not asked about
+    assert ask("p", b"", 2, 150) == '{"a": 1}'
+    assert seen[0]["model"] == "gpt-4o" and seen[0]["max_tokens"] == 512 and seen[0]["messages"][0]["content"][0]["image_url"]["url"] == "data:image/png;base64,cG5n"
+    assert backends.vision_client("d", lambda *a: b"x", lambda e, k: Opened("no JSON"))()("p", b"", 1, 150) == "{}" and seen[1]["model"] == "d"
+
+
+def test_store_settings(monkeypatch):
+    monkeypatch.delenv("AZURE_STORAGE_CONNECTION_STRING", raising=False)
+    with pytest.raises(OSError):
+        files.options_from_connection_string()
+    assert files.options_from_connection_string("AccountName=n;AccountKey=a==;EndpointSuffix=x") == {"spark.hadoop.fs.azure.account.key.n.dfs.core.windows.net": "a=="}
+
+
+def test_discovery_lists_one_folder(spark, folder):
+    (folder / "in" / "B.PDF").write_text("x")
+    (folder / "in" / "[odd] .pdf").write_text("x")
+    names = lambda *a: [r.path.rsplit("/", 1)[-1] for r in files.discover(spark, *a).collect()]
+    assert len(names(str(folder / "in"))) == 2 and len(names(str(folder / "in"), True)) == 3 and names(str(folder / "in" / "B.PDF")) == ["B.PDF"]
+    assert len(names(str(folder / "in" / "[odd] .pdf"))) == 1 and names(str(folder)) == []
+
+
+def test_public_names():
+    import pageloom
+
+    assert all(callable(getattr(pageloom, n)) for n in pageloom.__all__)
+
+
 def test_made_up_stream(spark):
     pages = synthetic.five_documents(spark)
     assert pages.where("page_idx = 0").first().text.startswith("Package")

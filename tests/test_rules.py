@@ -60,9 +60,9 @@ BODY = ["body text line here"] * 3
     "lines,last,want",
     [
         ([*BODY, "FEDERAL DISCLOSURE REQUIREMENTS", *BODY, "RETAIL INSTALLMENT CONTRACT", *["body content line here"] * 2, "FOR USED VEHICLES ONLY", *BODY, *BODY], True, "RETAIL INSTALLMENT CONTRACT"),
-        (["4525 TURNBERRY DR 60133ILHANOVER PARK"], False, None),
+        (["1200 EXAMPLE LN 99999ZZSAMPLE TOWN"], False, None),
         (["DT 5/23", "APPLICABLE LAW"], False, None),
-        (["ZEIGLER CHRYSLER DODGE JEEP LLC"], False, None),
+        (["SAMPLEMAN MOTORS TRUCK VAN LLC"], False, None),
         (["DIVULGACIÓN DE LA TASA MAXIMA DEL 36"], False, None),
         (["ODOMETER DISCLOSURE STATEMENT", "WARNING ODOMETER DISCREPENCY"], False, "ODOMETER DISCLOSURE STATEMENT"),
         (["FEDERAL TRUTH IN LENDING DISCLOSURES", "RETAIL INSTALLMENT CONTRACT"], True, "RETAIL INSTALLMENT CONTRACT"),
