@@ -72,6 +72,18 @@ def order_key(column: Column) -> Column:
     return F.coalesce(column.cast("long"), F.lit(-(2**63)))
 
 
+def sampled(df: DataFrame, id_col: str, text: Column, rows: int, total: int, seed: int) -> DataFrame:
+    """The rows of df, of total, with the least hashes of id and text: so many, and more only where rows repeat.  Their
+    keys are sorted, not the rows; no text passes through one task."""
+    share = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed)), F.lit(1 << 30))
+    key = F.struct(share.alias("h"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("k"))
+    some = df.where(share < min(1.0, 1.2 * rows / max(1, total) + 50 / max(1, total)) * (1 << 30))
+    last = some.select(key.alias("key")).orderBy("key").limit(rows).agg(F.max("key").alias("m")).first().m
+    if last is None:
+        return df.where(F.lit(False))
+    return some.where(key <= F.struct(F.lit(last.h).cast("long").alias("h"), F.lit(last.k).cast("long").alias("k")))
+
+
 # --- hashing of words -----------------------------------------------------------------------------------------------
 
 SPACES = np.zeros(256, bool)

@@ -6,9 +6,9 @@ in the phrase, is intersected with the next rarest's list, less its offset, and
 agree.  What is left are exactly the places where the phrase stands, as every term has been intersected.  A proximity
 query intersects the same lists with a tolerance.  A document lies in one shard, so nothing is shuffled.
 
-build_index() gives the postings as a table, which can be stored and searched again; decontaminate() stores it where it
-is asked to, or where the benchmark needs several passes: the benchmark goes to every task, in blocks of at most
-BLOCK_BYTES of text, and the hits of several blocks are merged for each document.
+build_index() gives the postings as a table, which is stored and searched.  The benchmark goes to every task in blocks of
+at most BLOCK_BYTES of text, of which the driver holds one at a time; what each block finds is written, a row for each
+shard with hits, and the hits of all blocks are merged for each document in the end.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD_ALNUM, Words, binary, bounded_batches, in_chunks, int64, list_array, saved
+from .common import FOLD_ALNUM, Words, binary, bounded_batches, forget, in_chunks, int64, list_array, saved
 
 WINDOW = 13
 #: Benchmark text that is sent to the tasks at once.
@@ -133,8 +133,8 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list
     yield block
 
 
-def _found(index: Index, phrases: Phrases, slack: int | None) -> tuple[pa.Array, pa.Array]:
-    """Of each text of a shard: hits, disjoint and in order, and the items."""
+def _found(index: Index, phrases: Phrases, slack: int | None) -> tuple[pa.Array, pa.Array] | None:
+    """Of a shard: spans of hit words (text, start, end), disjoint and in order, and items (text, item); None if none."""
     numbers = index.numbers(phrases.terms)
     begins, lengths, of_text, of_item = [], [], [], []
     rare = np.minimum.reduceat(index.frequency(numbers)[phrases.flat], phrases.begins) if phrases.phrases else np.zeros(0, np.int64)
@@ -146,24 +146,25 @@ def _found(index: Index, phrases: Phrases, slack: int | None) -> tuple[pa.Array,
             lengths.append(np.full(len(at), len(phrase) if slack is None else 1))
             of_text.append(np.repeat(index.text[at], len(owners)))
             of_item.append(np.tile(owners, len(at)))
+    if not begins:
+        return None
     edges = np.zeros(index.size + 1, np.int64)
-    if begins:
-        s, w = np.concatenate(begins), np.concatenate(lengths)
-        np.add.at(edges, s, 1)
-        np.add.at(edges, s + w, -1)
+    s, w = np.concatenate(begins), np.concatenate(lengths)
+    np.add.at(edges, s, 1)
+    np.add.at(edges, s + w, -1)
     hit = np.cumsum(edges[:-1]) > 0
     first = np.zeros(index.size + 1, bool)
     first[index.bounds] = True  # runs of hit words are cut where texts end
     start = np.flatnonzero(hit & (~np.concatenate(([False], hit[:-1])) | first[:-1]))
     end = np.flatnonzero(hit & (~np.concatenate((hit[1:], [False])) | first[1:])) + 1
-    owner, n = index.text[start], len(index.counts)
-    spans = pa.StructArray.from_arrays([int64(start - index.bounds[owner]), int64(end - index.bounds[owner])], ["start", "end"])
-    pairs = np.unique(np.stack([np.concatenate(of_text), np.concatenate(of_item)], 1), axis=0) if begins else np.zeros((0, 2), np.int64)
-    ends = lambda x: np.concatenate(([0], np.cumsum(np.bincount(x, minlength=n)))) if n else np.zeros(1)
-    return list_array(ends(owner), spans), list_array(ends(pairs[:, 0]), pa.array(phrases.items, pa.string()).take(pa.array(pairs[:, 1])))
+    owner = index.text[start]
+    spans = pa.StructArray.from_arrays([int64(owner), int64(start - index.bounds[owner]), int64(end - index.bounds[owner])], ["text", "start", "end"])
+    pairs = np.unique(np.stack([np.concatenate(of_text), np.concatenate(of_item)], 1), axis=0)
+    items = pa.StructArray.from_arrays([int64(pairs[:, 0]), pa.array(phrases.items, pa.string()).take(pa.array(pairs[:, 1]))], ["text", "item"])
+    return spans, items
 
 
-_FOUND = "n_words long, hits array<struct<start:long,end:long>>, items array<string>"
+_SPANS, _ITEMS = "array<struct<text:long,start:long,end:long>>", "array<struct<text:long,item:string>>"
 
 
 def build_index(picked: DataFrame) -> DataFrame:
@@ -180,72 +181,64 @@ def build_index(picked: DataFrame) -> DataFrame:
 
 
 def search_index(index: DataFrame, block: list[tuple[str, bytes]], n: int = WINDOW, slack: int | None = None) -> DataFrame:
-    """row, n_words, hits, items of every row of an index."""
+    """shard, spans, items of the shards of a stored index (with a column shard) that a block hits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(block, n)
         for batch in batches:
             for i in range(batch.num_rows):
-                shard = Index.from_bytes(*[batch[c][i].as_py() for c in Index.COLUMNS])
-                yield pa.RecordBatch.from_arrays([batch["rows"].slice(i, 1).flatten(), int64(shard.counts), *_found(shard, phrases, slack)], ["row", "n_words", "hits", "items"])
+                found = _found(Index.from_bytes(*[batch[c][i].as_py() for c in Index.COLUMNS]), phrases, slack)
+                if found:
+                    lists = [list_array(np.array([0, len(x)]), x) for x in found]
+                    yield pa.RecordBatch.from_arrays([batch["shard"].slice(i, 1), *lists], ["shard", "spans", "items"])
 
-    return index.mapInArrow(run, f"row {index.schema['rows'].dataType.elementType.simpleString()}, {_FOUND}")
+    return index.select("shard", *Index.COLUMNS).mapInArrow(run, f"shard long, spans {_SPANS}, items {_ITEMS}")
 
 
-def _search_once(picked: DataFrame, block: list[tuple[str, bytes]], n: int, slack: int | None) -> DataFrame:
-    """build_index() and search_index() in one task, the shard kept in memory."""
+def _by_row(shards: DataFrame) -> DataFrame:
+    """row, n_words, hits, items of every row of every shard (rows, counts, spans, items; the last two null without hits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = Phrases(block, n)
         for batch in batches:
-            texts = binary(batch.column(1))
-            for a, b in in_chunks(texts, SHARD_BYTES):
-                shard = Index.build(texts[a:b])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), int64(shard.counts), *_found(shard, phrases, slack)], ["row", "n_words", "hits", "items"])
-
-    return picked.mapInArrow(run, f"row {picked.schema['row'].dataType.simpleString()}, {_FOUND}")
-
-
-def _merge(hits: F.Column) -> F.Column:
-    """Disjoint spans in order from spans in any order."""
-    zero = F.array().cast("array<struct<start:long,end:long>>")
-
-    def add(done, x):
-        last = F.try_element_at(done, F.lit(-1))
-        joined = F.named_struct(F.lit("start"), last["start"], F.lit("end"), F.greatest(last["end"], x["end"]))
-        return F.when(last.isNotNull() & (x["start"] <= last["end"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(x)))
-
-    return F.aggregate(F.array_sort(hits), zero, add)
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, slack: int | None = None, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, store: bool = False) -> DataFrame:
-    """row struct (docs' columns, or those in keep), n_words, hits, items: for each row of docs.  store: the postings are
-    written to the shared folder and searched there.
+            for i in range(batch.num_rows):
+                counts = np.frombuffer(batch["counts"][i].as_py(), np.int64)
+                hits, items = [[] for _ in counts], [set() for _ in counts]
+                for x in sorted(batch["spans"][i].as_py() or [], key=lambda x: (x["text"], x["start"])):
+                    mine = hits[x["text"]]
+                    if mine and x["start"] <= mine[-1]["end"]:
+                        mine[-1]["end"] = max(mine[-1]["end"], x["end"])
+                    else:
+                        mine.append({"start": x["start"], "end": x["end"]})
+                for x in batch["items"][i].as_py() or []:
+                    items[x["text"]].add(x["item"])
+                span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+                yield pa.RecordBatch.from_arrays([batch["rows"].slice(i, 1).flatten(), int64(counts), pa.array(hits, span), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], ["row", "n_words", "hits", "items"])
+
+    row = shards.schema["rows"].dataType.elementType.simpleString()
+    return shards.mapInArrow(run, f"row {row}, n_words long, hits array<struct<start:long,end:long>>, items array<string>")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, slack: int | None = None, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """row struct (docs' columns, or those in keep), n_words, hits, items: for each row of docs.
 
     hits: spans of word numbers inside any occurrence of a window of n words of an item (an item of fewer words, but not
     none, is one window); items: the ids, as texts, of items with such windows, distinct, sorted as strings.  With slack,
     hits are the places of a window's rarest term that has all its other terms within slack words.
 
     Words are runs of letters and digits with A-Z lower-cased; null and empty texts have none, on either side.  Repeated
-    rows give repeated results; a null item id counts as the empty text; an empty benchmark hits nothing.
+    rows give repeated results; a null item id counts as the empty text; an empty benchmark hits nothing; an empty table
+    gives none.  A text longer than a shard is a shard of its own.  Other columns stand inside row, so no name clashes.
     """
     keep = docs.columns if keep is None else keep
     row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
     picked = bounded_batches(docs).select(row, F.col(f"`{text_col}`").cast("string").alias("text"))
-    blocks = _blocks(benchmark, item_col, item_text_col)
-    block, more = next(blocks), next(blocks, None)
-    if more is None and not store:
-        parts = [_search_once(picked, block, n, slack)]
-    else:
-        index = saved(build_index(picked))
-        parts = [search_index(index, x, n, slack) for x in (block, *([] if more is None else [more, *blocks]))]
-    if len(parts) == 1:
-        return parts[0].withColumn("items", F.array_sort(F.array_distinct("items")))
-    # Rows are told apart by their values; copies of a row are counted and come back as often.
-    every = reduce(DataFrame.unionAll, parts)
-    one = every.groupBy("row").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"), (F.count("*") / len(parts)).cast("int").alias("_n"))
-    merged = one.select("row", "n_words", _merge(F.col("hits")).alias("hits"), F.array_sort(F.array_distinct("items")).alias("items"), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
-    return merged.drop("_copy")
+    index = saved(build_index(picked).withColumn("shard", F.monotonically_increasing_id()))
+    parts = [saved(search_index(index, block, n, slack)) for block in _blocks(benchmark, item_col, item_text_col)]
+    found = reduce(DataFrame.unionAll, parts).groupBy("shard").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    found = saved(found)
+    for part in parts:
+        forget(part)
+    return _by_row(index.select("shard", "rows", "counts").join(found, "shard", "left").select("rows", "counts", "spans", "items"))
 
 
 def n_hit(hits) -> F.Column:

@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, bounded_batches
+from .common import binary, bounded_batches, sampled
 
 UNKNOWN = "und"
 WINDOW = 256
 #: Windows that are convolved at once.
 BLOCK = 256
-#: Labelled rows that a fit reads at most (chosen by a hash of their id), and windows of each, spread over the text.
-FIT_ROWS, FIT_WINDOWS = 6000, 3
+#: Labelled rows that a fit reads at most, chosen by a hash of id and text; of these, whole texts.
+FIT_ROWS = 1500
 
 
 @dataclass
@@ -125,43 +125,37 @@ def as_windows(texts: list[bytes], size: int = WINDOW) -> tuple[np.ndarray, np.n
     return x, text, np.clip(lengths[text] - (np.arange(len(text)) - first[text]) * size, 1, size)
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, rows: int, windows: int) -> list[tuple[str, str]]:
-    """(label, piece of text): of at most rows labelled rows, the ones with the least hashes of their ids, up to windows
-    pieces of WINDOW characters each, spread evenly over the whole text.  Only these reach the driver."""
-    labelled = docs.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    n = labelled.count()
-    if not n:
-        return []
-    share = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30))
-    below = min(1.0, 1.2 * rows / n + 50 / n) * (1 << 30)
-    text, length = F.col(text_col), F.length(F.col(text_col))
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), lambda i: F.substring(text, (i * F.floor(length / windows) + 1).cast("int"), F.lit(WINDOW)))
-    short = F.when(length <= WINDOW, F.array(text)).otherwise(pieces)
-    chosen = labelled.where((share < below) & text.isNotNull()).select(share.alias("h"), F.col(label_col).alias("label"), short.alias("pieces"), F.col(id_col).alias("id"))
-    return [(r.label, p) for r in chosen.orderBy("h", "id").limit(rows).collect() for p in r.pieces]
-
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = FIT_ROWS, windows: int = FIT_WINDOWS, epochs: int = 3, seed: int = 7) -> ByteCnn | None:
-    """A network fitted on a sample of docs; None if no row has a label and a text."""
-    got = [(label, piece.encode()) for label, piece in sample(docs, id_col, text_col, label_col, rows, windows) if piece.strip()]
+def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> list[tuple[str, str]]:
+    """(label, whole text) of at most rows labelled rows.  Only these reach the driver."""
+    label, text = F.col(f"`{label_col}`"), F.col(f"`{text_col}`").cast("string")
+    labelled = docs.where(label.isNotNull() & F.col(f"`{id_col}`").isNotNull() & text.rlike(r"\S"))
+    chosen = sampled(labelled, id_col, text, rows, labelled.count(), 42)
+    return sorted((r.label, r.text) for r in chosen.select(label.cast("string").alias("label"), text.alias("text")).limit(rows).collect())
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = FIT_ROWS, epochs: int = 3, seed: int = 7) -> ByteCnn | None:
+    """A network fitted on the windows of a sample of docs; None if no row has a label and a text.
+
+    Of two in five windows only the beginning is shown, so that short texts are met as well.
+    """
+    got = sample(docs, id_col, text_col, label_col, rows)
     if not got:
         return None
     languages = sorted({label for label, _ in got})
-    rng = np.random.default_rng(seed)
-    pieces, labels = [], []
-    for label, piece in got:
-        cut = int(rng.integers(1, WINDOW + 1)) if rng.random() < 0.4 else WINDOW  # short texts are met as well
-        pieces.append(piece[: max(cut, 6)][:WINDOW])
-        labels.append(languages.index(label))
-    x, text, _ = as_windows(pieces)
-    return ByteCnn(languages).start(seed).fit(x.astype(np.int64), np.array(labels)[text], epochs, seed)
+    x, text, size = as_windows([t.encode() for _, t in got])
+    x, rng = x.copy(), np.random.default_rng(seed)
+    cut = np.where(rng.random(len(x)) < 0.4, np.maximum(rng.integers(1, WINDOW + 1, len(x)), 6), WINDOW)
+    x[np.arange(WINDOW)[None] >= cut[:, None]] = 0
+    labels = np.array([languages.index(label) for label, _ in got])[text]
+    return ByteCnn(languages).start(seed).fit(x.astype(np.int64), labels, epochs, seed)
 
 
 def predict(docs: DataFrame, model: ByteCnn | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """row struct (docs' columns, or those in keep), lang_pred string, score double: row by row, whole texts, no shuffle.
 
     und with score 0 where the text is null or has no letter, or where nothing could be learned.  Ties of languages go
-    to the first in their sorted order.
+    to the first in their sorted order.  Repeated rows give repeated results; an empty table gives none; a text of any
+    length is worked off in blocks of windows.  Other columns stand inside row, so that no name clashes.
     """
     keep = docs.columns if keep is None else keep
     row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")

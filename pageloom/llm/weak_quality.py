@@ -20,15 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEEP, Words, binary, bounded_batches, in_chunks, int64, mix
+from .common import KEEP, Words, binary, bounded_batches, in_chunks, int64, mix, sampled
 
 GOOD, NOTHING, BAD = 1, 0, -1
 #: Texts that the scorer is fitted on at most.
 FIT_ROWS = 4000
 BITS = 16
-#: Labellers look for different faults and are set to call few good texts bad: at most so many of those they vote on.
-#: Without this bound a fault that one of them alone sees would end as a trait of good texts.
-FALSE_ALARMS = 0.001
+#: What is known beforehand of false alarms, as a Beta distribution: labellers look for different faults and call few good
+#: texts bad.  FALSE_ALARMS is its mean, PRIOR its weight as a part of all texts.  The estimate follows the votes from
+#: there; without it a fault that one labeller alone sees would end as a trait of good texts.
+FALSE_ALARMS, PRIOR = 0.001, 50.0
 #: Words of no weight that are counted with a text's own, so that a few words decide little.
 SMOOTH = 4
 
@@ -128,20 +129,19 @@ class LabelModel:
     chance: np.ndarray
 
     @classmethod
-    def fit(cls, patterns: np.ndarray, counts: np.ndarray, n: int, rounds: int = 200, tolerance: float = 1e-7, false_alarms: float = FALSE_ALARMS) -> LabelModel:
+    def fit(cls, patterns: np.ndarray, counts: np.ndarray, n: int, rounds: int = 200, tolerance: float = 1e-7, false_alarms: float = FALSE_ALARMS, prior: float = PRIOR) -> LabelModel:
         votes = votes_of(patterns, n)
         good = np.where((votes == BAD).any(1), 0.1, 0.95)  # to begin with: labellers see different faults, so that one is enough
         model = cls(0.5, np.ones((2, n, 3)))
         for _ in range(rounds):
             for c, share in enumerate((1 - good, good)):
                 weight = share * counts
-                for v in (BAD, GOOD):
-                    model.chance[c, :, v + 1] = (weight[:, None] * (votes == v)).sum(0) + 1
+                known = (prior * counts.sum() + 2) * np.array([false_alarms, 1 - false_alarms]) if c else (1, 1)
+                for v, extra in zip((BAD, GOOD), known, strict=True):
+                    model.chance[c, :, v + 1] = (weight[:, None] * (votes == v)).sum(0) + extra
                 model.chance[c, :, 1] = 0
                 model.chance[c] /= model.chance[c].sum(1, keepdims=True)
                 model.chance[c, :, 1] = 1
-            model.chance[1, :, BAD + 1] = np.minimum(model.chance[1, :, BAD + 1], false_alarms)
-            model.chance[1, :, GOOD + 1] = 1 - model.chance[1, :, BAD + 1]
             model.prior = float(((good * counts).sum() + 1) / (counts.sum() + 2))
             old, good = good, model.posterior(votes)
             if np.abs(good - old).max(initial=0) < tolerance:
@@ -213,10 +213,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows:
     m = len(LABELLERS)
     labels = LabelModel.fit(np.array([r.pattern for r in counted], np.int64), np.array([r.n for r in counted], np.int64), m)
     total = max(1, sum(r.n for r in counted))
-    share = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit(3)), F.lit(1 << 30))
-    chosen = docs.where((share < min(1.0, 1.2 * rows / total + 50 / total) * (1 << 30)) & text.rlike(r"\S"))
-    chosen = chosen.select(text.alias("text"), share.alias("_h"), F.col(f"`{id_col}`").alias("_id")).orderBy("_h", "_id").limit(rows)
-    got = _training(chosen.select("text")).collect()
+    chosen = sampled(docs.where(text.rlike(r"\S")), id_col, text, rows, total, 3).select(text.alias("text"))
+    got = sorted(_training(chosen).limit(rows).collect())
     features = [np.frombuffer(r.features, np.uint16).astype(np.int64) for r in got]
     values = [np.frombuffer(r.shares, np.float32).astype(np.float64) for r in got]
     where = np.repeat(np.arange(len(got)), [len(f) for f in features]) if got else np.zeros(0, np.int64)

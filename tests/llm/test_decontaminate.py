@@ -47,7 +47,7 @@ def items(spark, rows=ITEMS):
 
 def test_cases(spark, docs):
     assert ours(docs(DOCS, n_words="a", hits="b", items="c"), items(spark)) == brute(DOCS, ITEMS)
-    assert ours(docs(DOCS, n_words="a", hits="b", items="c", _k="d"), items(spark), store=True) == brute(DOCS, ITEMS)
+    assert ours(docs(DOCS, n_words="a", hits="b", items="c", _k="d"), items(spark)) == brute(DOCS, ITEMS)
 
 
 def test_a_match_does_not_cross_documents(spark, docs):

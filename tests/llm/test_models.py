@@ -45,6 +45,69 @@ def test_same_table_same_model(spark):
     assert all(np.array_equal(p, q) for p, q in zip(a.kernels, b.kernels, strict=True))
 
 
+def test_a_false_alarm_rate_is_estimated():
+    rng = np.random.default_rng(2)
+    good = rng.random(4000) < 0.8
+    votes = np.where(good[:, None], np.where(rng.random((4000, 4)) < [0.2, 0.01, 0.01, 0.01], -1, 1), np.where(rng.random((4000, 4)) < 0.7, -1, 1))
+    found, counts = np.unique(weak_quality.pattern_of(votes), return_counts=True)
+    model = weak_quality.LabelModel.fit(found, counts, 4, prior=0.0)
+    assert np.abs(model.chance[1, :, 0] - [0.2, 0.01, 0.01, 0.01]).max() < 0.03 and np.abs(model.chance[0, :, 0] - 0.7).max() < 0.06
+    strict = weak_quality.LabelModel.fit(found, counts, 4, prior=1.0)
+    assert 0.001 < strict.chance[1, 0, 0] < model.chance[1, 0, 0]
+
+
+def test_fitted_rows_are_whole_and_bounded(spark):
+    rows = [(i % 50, f"text {i % 50} " + "word " * 400, "en") for i in range(300)]  # each row six times
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.sample(df, "doc_id", "text", "lang", 20)
+    assert len(got) == 20 and all(len(t) > 2000 for _, t in got)
+    assert language_id.sample(df.limit(0), "doc_id", "text", "lang", 20) == [] and len(language_id.sample(df, "doc_id", "text", "lang", 1000)) == 300
+
+
+def test_quality_by_a_plain_version(spark, docs):
+    """Posterior and score of each text by itself, summed label by label and feature by feature."""
+    rows = [(i, "Some plain words of prose stand here, and more of them follow. " * (1 + i % 5) if i % 4 else "%%% ### %%% ### $$$ " * (2 + i % 3)) for i in range(60)] + [(100, None), (101, ""), (102, " \n"), (5, "twice twice twice twice"), (5, "twice twice twice twice")]
+    model = weak_quality.train(docs(rows))
+    got = sorted((r.row.doc_id, r.n_words, round(r.posterior, 9), round(r.score, 9)) for r in weak_quality.score(docs(rows), model).collect())
+    want = []
+    for k, t in rows:
+        if not (t or "").split():
+            want.append((k, 0, 0.0, 0.0))
+            continue
+        one = weak_quality.Texts([t.encode()])
+        odds = np.log(model.labels.prior / (1 - model.labels.prior))
+        for j, v in enumerate(one.votes()[0]):
+            odds += np.log(model.labels.chance[1, j, v + 1]) - np.log(model.labels.chance[0, j, v + 1])
+        z = model.bias + sum(model.weights[f] for pair in one.features() for f in pair) / (len(t.split()) + weak_quality.SMOOTH)
+        want.append((k, len(t.split()), round(float(1 / (1 + np.exp(-odds))), 9), round(float(1 / (1 + np.exp(-z))), 9)))
+    assert got == sorted(want)
+    assert weak_quality.score(docs([]), model).count() == 0
+
+
+def test_languages_by_a_plain_version(spark, docs):
+    """Each window of each text by itself, filter by filter."""
+    rows = [(i, ("und die anderen schönen Wörter der Sprache" if i % 2 else "the words of the other language and more") + f" {i}") for i in range(80)]
+    df = docs(rows).selectExpr("doc_id", "text", "CASE WHEN doc_id % 2 = 1 THEN 'de' ELSE 'en' END AS lang")
+    model = language_id.train(df)
+    texts = [(1, "der schöne Tag " * 60), (2, "one"), (3, None), (4, "42 !"), (5, ""), (6, "the end"), (6, "the end"), (7, "ä" * 300)]
+    got = sorted((r.row.doc_id, r.lang_pred, round(r.score, 4)) for r in language_id.predict(docs(texts), model).collect())
+    want = []
+    for k, t in texts:
+        if not any(c.isalpha() for c in t or ""):
+            want.append((k, "und", 0.0))
+            continue
+        raw, z = t.encode(), np.zeros(2)
+        for at in range(0, len(raw), 256):
+            piece = raw[at : at + 256]
+            window, best = piece.ljust(256, b"\0"), []
+            for w, kernel in zip(model.widths, model.kernels, strict=True):
+                best += np.max([sum(kernel[j][window[i + j]] for j in range(w)) for i in range(256 - w + 1)], axis=0).tolist()
+            z += (np.maximum(np.array(best) + model.bias, 0) @ model.out + model.out_bias) * len(piece)
+        p = np.exp(z / len(raw) - (z / len(raw)).max())
+        want.append((k, model.languages[int(p.argmax())], round(float((p / p.sum()).max()), 4)))
+    assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in sorted(want)] and np.allclose([c for *_, c in got], [c for *_, c in sorted(want)], atol=1e-3)
+
+
 def test_quality_against_labels(spark, duck):
     got = {r.doc_id: r for r in queries.op6_quality(spark, DATA).collect()}
     told = duck.sql("select doc_id, quality from labels").fetchall()
@@ -58,7 +121,7 @@ def test_label_model_finds_accuracies():
     right = (0.95, 0.85, 0.7, 0.9)
     votes = np.stack([np.where(rng.random(len(truth)) < 0.3, 0, np.where((rng.random(len(truth)) < r) == truth, 1, -1)) for r in right], axis=1)
     patterns, counts = np.unique(weak_quality.pattern_of(votes), return_counts=True)
-    model = weak_quality.LabelModel.fit(patterns, counts, 4, false_alarms=1.0)
+    model = weak_quality.LabelModel.fit(patterns, counts, 4, prior=0.0)
     assert np.allclose(list(model.accuracy().values()), right, atol=0.03) and abs(model.prior - 0.8) < 0.03
     assert np.array_equal(weak_quality.votes_of(weak_quality.pattern_of(votes), 4), votes)
 
