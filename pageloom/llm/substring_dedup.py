@@ -115,7 +115,7 @@ def _windows(texts: DataFrame, n: int, buckets: int) -> DataFrame:
 
 
 def _count(windows: DataFrame, buckets: int) -> DataFrame:
-    """doc, version, starts binary: first words (int32) of the repeated windows of each text, bucket by bucket."""
+    """doc, version, start: the first word of each repeated window, a row for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, ...]] = []
@@ -137,32 +137,31 @@ def _count(windows: DataFrame, buckets: int) -> DataFrame:
             return
         doc, version, start = (np.concatenate(x) for x in zip(*done, strict=True))
         order = np.lexsort((start, version, doc))
-        doc, version, start = doc[order], version[order], start[order]
-        ends = np.flatnonzero(np.concatenate(((np.diff(doc) != 0) | (np.diff(version) != 0), [True]))) + 1 if len(doc) else np.zeros(0, np.int64)
-        begins = np.concatenate(([0], ends[:-1])).astype(np.int64) if len(ends) else ends
-        for at in range(0, len(ends), 4096):
-            a, b = begins[at : at + 4096], ends[at : at + 4096]
-            starts = [np.unique(start[i:j]).astype(np.int32).tobytes() for i, j in zip(a, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([int64(doc[a]), pa.array(version[a], pa.int32()), pa.array(starts, pa.binary())], ["doc", "version", "starts"])
+        doc, version, start = doc[order], version[order], start[order].astype(np.int32)
+        new = np.concatenate(([True], (np.diff(doc) != 0) | (np.diff(version) != 0) | (np.diff(start) != 0)))[: len(doc)]
+        doc, version, start = doc[new], version[new], start[new]  # what several chunks found is one
+        for at in range(0, len(doc), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([int64(doc[part]), pa.array(version[part], pa.int32()), pa.array(start[part], pa.int32())], ["doc", "version", "start"])
 
-    return windows.repartitionById(buckets, F.col("bucket")).mapInArrow(run, "doc long, version int, starts binary")
+    return windows.repartitionById(buckets, F.col("bucket")).mapInArrow(run, "doc long, version int, start int")
 
 
 def repeated_windows(rows: DataFrame, n: int = WINDOW) -> DataFrame:
-    """doc, version, starts array<binary>: where windows of each text (doc, text, version) start that stand earlier."""
+    """doc, version, starts array<int>: where windows of each text (doc, text, version) start that stand earlier."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET))
     found = saved(_count(_windows(rows, n, buckets), buckets))
-    out = saved(found.groupBy("doc", "version").agg(F.collect_list("starts").alias("starts")))
+    out = saved(found.groupBy("doc", "version").agg(F.collect_list("start").alias("starts")))
     forget(found)
     return out
 
 
-def _spans(starts: list[bytes] | None, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _spans(starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The maximal spans that windows cover."""
-    if not starts:
+    if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    s = np.unique(np.frombuffer(b"".join(starts), np.int32)).astype(np.int64)
+    s = np.unique(starts).astype(np.int64)
     new = np.concatenate(([True], np.diff(s) > n))
     return s[new], s[np.concatenate((new[1:], [True]))] + n
 
@@ -172,7 +171,10 @@ def _cut(texts: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             kept, n_words, removed, ends = [], [], [], [0]
             starts, stops = [], []
-            for text, found in zip(binary(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            lists = batch.column(2)
+            every, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+            for text, a, b in zip(binary(batch.column(1)), bounds[:-1], bounds[1:], strict=True):
+                found = every[a:b]
                 words = text.split()
                 n_words.append(len(words))
                 s, e = _spans(found, n)
@@ -203,4 +205,4 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id", te
     keep = docs.columns if keep is None else keep
     rows = _rows(docs, id_col, text_col, keep)
     found = repeated_windows(rows, n)
-    return _cut(rows.join(found, ["doc", "version"], "left").select("row", "text", "starts"), n)
+    return _cut(rows.join(found, ["doc", "version"], "left").select("row", "text", F.coalesce("starts", F.array().cast("array<int>")).alias("starts")), n)
