@@ -19,6 +19,8 @@ CHUNK_BYTES = 1 << 19
 
 #: Spark's setting by which the shuffle files of a query are deleted when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Of tables that are read only once their write has returned: no marker file.
+PRIVATE = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
 # --- shared storage -------------------------------------------------------------------------------------------------
@@ -47,7 +49,7 @@ def saved(df: DataFrame) -> DataFrame:
     was = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**PRIVATE).option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, was)
     out = spark.read.schema(df.schema).parquet(path)

@@ -285,6 +285,9 @@ def _one_document(classes: DataFrame) -> DataFrame:
     """The same with the classes made one in which texts of one id are; null is no id."""
     several = classes.where("near is not null").where(F.col("doc") != NO_ID).groupBy("doc").agg(F.min("near").alias("first"), F.max("near").alias("last")).where("first <> last").select("doc", "first")
     several = saved(several)
+    if several.isEmpty():
+        forget(several)
+        return classes
     edges = saved(classes.join(several, "doc").where("near <> first").select("near", "first").distinct())
     forget(several)
     if edges.isEmpty():
