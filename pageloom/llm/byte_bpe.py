@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, in_chunks, list_array
 
 #: Entries that a worker keeps of each kind, and the bytes of the longest text of one: so its memory is bounded by bytes.
-KEPT, KEPT_BYTES = 100_000, 32
+KEPT, KEPT_BYTES = 300_000, 32
 #: Bytes of text whose ids are sent back at once.
 SLICE_BYTES = 1 << 20
 #: Bytes of a window beyond which its pairs wait in a heap.
