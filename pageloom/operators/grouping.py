@@ -61,6 +61,26 @@ def _with_groups_by_block(signals: DataFrame, pdf: str, page: str, block: int) -
     return join(told, sums).withColumn("group_no", group).select(*signals.columns, "group_no")
 
 
+def running_sum(rows: DataFrame, keys: list[str], order: str, value: Column, name: str, block: int | None = None) -> DataFrame:
+    """rows with name: the sum of value over the rows of the same keys up to each, by order, a whole number.
+
+    With block, ranges of so many numbers of order are windows of their own, and a row for each range carries the sums of
+    those before it: for keys that may hold a large share of all rows.  rows are then evaluated twice.
+    """
+    if not block:
+        return rows.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    cut = rows.withColumn("_range", F.floor(F.col(order) / block))
+    own = [f"_key{i}" for i in range(len(keys))]
+    sums = cut.groupBy(*[F.col(k).alias(o) for k, o in zip(keys, own, strict=True)], F.col("_range").alias("_nth")).agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(*own).orderBy("_nth").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*own, "_nth", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    same = F.col("_range").eqNullSafe(F.col("_nth"))
+    for k, o in zip(keys, own, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(o))
+    within = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return cut.join(sums, same).withColumn(name, F.col("_before") + F.sum(value).over(within)).select(*rows.columns, name)
+
+
 def summarise(grouped: DataFrame, pdf: str = "pdf_id", page: str = "page_idx") -> DataFrame:
     """One row for each group: its pages in order, first and last from 1, and the first title that is not empty."""
     title = F.min_by("title_text", F.when(F.col("title_text") != "", F.col(page)))
@@ -75,13 +95,17 @@ def base_name(title: Column, first: Column, last: Column) -> Column:
     return F.when(F.coalesce(title, F.lit("")) != "", sanitize_title(title)).otherwise(fallback_name(first, last))
 
 
-def with_file_names(groups: DataFrame, pdf: str = "pdf_id") -> DataFrame:
+def with_file_names(groups: DataFrame, pdf: str = "pdf_id", block: int | None = None) -> DataFrame:
     """groups with base_name, dup_no and file_name; names are numbered in the order of groups of one PDF."""
     named = groups.withColumn("base_name", base_name(F.col("raw_title"), F.col("start_page"), F.col("end_page")))
-    nth = F.row_number().over(Window.partitionBy(pdf, "base_name").orderBy("group_no"))
-    return named.withColumn("dup_no", nth).withColumn("file_name", numbered(F.col("base_name"), F.col("dup_no")))
+    nth = running_sum(named, [pdf, "base_name"], "group_no", F.lit(1), "dup_no", block)
+    return nth.withColumn("dup_no", F.col("dup_no").cast("int")).withColumn("file_name", numbered(F.col("base_name"), F.col("dup_no")))
+
 
+def manifest(signals: DataFrame, pdf: str = "pdf_id", page: str = "page_idx", block: int | None = None) -> DataFrame:
+    """The documents that a PDF is split into.
 
-def manifest(signals: DataFrame, pdf: str = "pdf_id", page: str = "page_idx") -> DataFrame:
-    """The documents that a PDF is split into."""
-    return with_file_names(summarise(with_groups(signals, pdf, page), pdf, page), pdf)
+    With block, no window holds more than so many page or group numbers; signals are then evaluated several times, so
+    persist those that are costly.
+    """
+    return with_file_names(summarise(with_groups(signals, pdf, page, block), pdf, page), pdf, block)

@@ -2,35 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions.text import lines, strip
 from ..functions.titles import marker_title, numbered
+from .grouping import running_sum
 
 
 def with_starts(pages: DataFrame, pdf: str = "pdf_id", page: str = "page_idx", text: str = "text") -> DataFrame:
     """pages with is_start: the marked pages if a PDF has any, else its first page and those that say page 1 of n."""
     t = F.coalesce(F.col(text), F.lit(""))
-    marked = pages.withColumn("_marked", t.rlike(p.DOC_MARKER))
-    any_ = F.max("_marked").over(Window.partitionBy(pdf))
-    first = F.min(page).over(Window.partitionBy(pdf))
-    return marked.withColumn("is_start", F.when(any_, F.col("_marked")).otherwise(t.rlike(p.PAGE_ONE_OF) | (F.col(page) == first))).drop("_marked")
+    marked = t.rlike(p.DOC_MARKER)
+    whole = pages.groupBy(F.col(pdf).alias("_pdf")).agg(F.max(marked).alias("_any"), F.min(page).alias("_first"))
+    told = pages.join(whole, F.col(pdf).eqNullSafe(F.col("_pdf")))
+    return told.withColumn("is_start", F.when(F.col("_any"), marked).otherwise(t.rlike(p.PAGE_ONE_OF) | (F.col(page) == F.col("_first")))).select(*pages.columns, "is_start")
 
 
-def segments(pages: DataFrame, pdf: str = "pdf_id", page: str = "page_idx", text: str = "text") -> DataFrame:
-    """One row for each segment that is not blank: pages [start_page, end_page) from 0, its lines, title and file name."""
-    w = Window.partitionBy(pdf).orderBy(page).rowsBetween(Window.unboundedPreceding, 0)
-    numbered_ = with_starts(pages, pdf, page, text).withColumn("segment", F.sum(F.col("is_start").cast("int")).over(w)).where("segment > 0")
+def segments(pages: DataFrame, pdf: str = "pdf_id", page: str = "page_idx", text: str = "text", block: int | None = None) -> DataFrame:
+    """One row for each segment that is not blank: pages [start_page, end_page) from 0, its lines, title and file name.
+
+    With block, no window holds more than so many page or segment numbers of a PDF.
+    """
+    numbered_ = running_sum(with_starts(pages, pdf, page, text), [pdf], page, F.col("is_start").cast("int"), "segment", block).where("segment > 0")
     stripped = strip(F.coalesce(F.col(text), F.lit("")))
     grouped = numbered_.groupBy(pdf, "segment").agg(
         F.min(page).cast("int").alias("start_page"), (F.max(page) + 1).cast("int").alias("end_page"), F.min_by(F.col(text), F.col(page)).alias("_first"), F.max((stripped != "").cast("int")).alias("_filled")
     ).where("_filled = 1")
-    ordinal = F.row_number().over(Window.partitionBy(pdf).orderBy("segment"))
-    titled = grouped.withColumn("_n", ordinal).withColumn("base_name", marker_title(lines(strip(F.coalesce("_first", F.lit("")))), F.lit(-1), F.format_string("Document %d", F.col("_n"))))
-    nth = F.row_number().over(Window.partitionBy(pdf, "base_name").orderBy("segment"))
-    return titled.withColumn("dup_no", nth).withColumn("file_name", numbered(F.col("base_name"), F.col("dup_no"))).select(pdf, F.col("_n").alias("document_no"), "start_page", "end_page", "base_name", "dup_no", "file_name")
+    counted = running_sum(grouped, [pdf], "segment", F.lit(1), "_n", block).withColumn("_n", F.col("_n").cast("int"))
+    titled = counted.withColumn("base_name", marker_title(lines(strip(F.coalesce("_first", F.lit("")))), F.lit(-1), F.format_string("Document %d", F.col("_n"))))
+    nth = running_sum(titled, [pdf, "base_name"], "segment", F.lit(1), "dup_no", block)
+    return nth.withColumn("dup_no", F.col("dup_no").cast("int")).withColumn("file_name", numbered(F.col("base_name"), F.col("dup_no"))).select(pdf, F.col("_n").alias("document_no"), "start_page", "end_page", "base_name", "dup_no", "file_name")
 
 
 def require_segments(found: DataFrame) -> DataFrame:

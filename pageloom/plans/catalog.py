@@ -74,7 +74,7 @@ def group_members(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    out = grouping.manifest(signals.with_text_signals(inputs.pages(spark, folder)))
+    out = grouping.manifest(signals.with_text_signals(inputs.pages(spark, folder)), block=inputs.BLOCK)
     return out.select("pdf_id", "group_no", "start_page", "end_page", "n_pages", "raw_title", "file_name")
 
 
@@ -83,7 +83,7 @@ def legacy_starts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def legacy_segments(spark: SparkSession, folder: str) -> DataFrame:
-    return legacy.segments(inputs.pages(spark, folder))
+    return legacy.segments(inputs.pages(spark, folder), block=inputs.BLOCK)
 
 
 def ocr_flatten(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,7 +173,7 @@ def vision_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def credit_app_selection(spark: SparkSession, folder: str) -> DataFrame:
-    made = grouping.manifest(signals.with_text_signals(inputs.pages(spark, folder)))
+    made = grouping.manifest(signals.with_text_signals(inputs.pages(spark, folder)), block=inputs.BLOCK)
     return forms.credit_applications(made).select("pdf_id", "group_no")
 
 

@@ -5,9 +5,14 @@ Each is said twice: as a frame, and as SQL for the other engine (the constants i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.grouping import running_sum
+
+#: Page numbers of one window, at most: a source may hold a large share of all documents.
+BLOCK = 4096
+
 # What goes before a document's text, in words that both dialects know.
 _PREFIX = """CASE CAST(doc_id % 11 AS INT)
  WHEN 0 THEN concat('DOCUMENT ', CAST(doc_id % 5 + 1 AS STRING), ' OF 5', chr(10), 'Page 3', chr(10))
@@ -31,8 +36,8 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """pdf_id, page_idx from 0, text."""
-    number = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
-    return read(spark, folder, "documents").select(F.col("source").alias("pdf_id"), number.alias("page_idx"), F.expr(_TEXT).alias("text"))
+    numbers = running_sum(read(spark, folder, "documents").select("source", "doc_id", "text"), ["source"], "doc_id", F.lit(1), "nth", BLOCK)
+    return numbers.select(F.col("source").alias("pdf_id"), (F.col("nth") - 1).cast("int").alias("page_idx"), F.expr(_TEXT).alias("text"))
 
 
 _KIND = "CASE event_type WHEN 'signup' THEN 'NEW_DOC' WHEN 'purchase' THEN 'CONTINUATION' WHEN 'click' THEN 'CONTINUATION' ELSE 'AMBIGUOUS' END"

@@ -39,3 +39,32 @@ def test_groups_by_block_are_the_same(spark):
     want = sorted(map(repr, with_groups(df).collect()))
     for block in (7, 1000, 10**9):
         assert sorted(map(repr, with_groups(df, block=block).collect())) == want
+
+
+def test_splitting_by_block_is_the_same(spark):
+    from pageloom.operators.grouping import manifest
+    from pageloom.operators.legacy import segments
+    from pageloom.plans import inputs
+
+    one = inputs.signals(spark, DATA)
+    hot = one.withColumn("pdf_id", one.pdf_id % 3)
+    pages = inputs.conversations(spark, DATA).selectExpr("CASE WHEN pdf_id % 2 = 0 THEN 'hot' END AS pdf_id", "CAST(pdf_id * 100 + page_idx AS INT) AS page_idx", "CASE WHEN pdf_id % 5 < 2 THEN concat('DOCUMENT 1 OF 2\nBILL OF SALE\n', text) ELSE text END AS text")
+    assert pages.select("pdf_id", "page_idx").distinct().count() == pages.count()
+    for make, df in ((manifest, hot), (segments, pages)):
+        want = sorted(map(repr, make(df).collect()))
+        assert len(want) > 20
+        for block in (7, 10**9):
+            assert sorted(map(repr, make(df, block=block).collect())) == want
+
+
+def test_running_sums_by_block(spark):
+    from pyspark.sql import functions as F
+
+    from pageloom.operators.grouping import running_sum
+
+    df = spark.createDataFrame([("a", 1, 2), ("a", 5, 3), ("a", 9, 4), (None, 4, 1), (None, 12, 1), ("b", None, 7), ("b", 0, 1)], "k string, o long, v int")
+    want = [("a", 1, 2), ("a", 5, 5), ("a", 9, 9), ("b", None, 7), ("b", 0, 8), (None, 4, 1), (None, 12, 2)]
+    for block in (None, 1, 4, 100):
+        rows = running_sum(df, ["k"], "o", F.col("v"), "s", block).select("k", "o", "s").collect()
+        assert sorted(map(tuple, rows), key=repr) == sorted(want, key=repr), block
+    assert running_sum(df.limit(0), ["k"], "o", F.col("v"), "s", 4).count() == 0
