@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import forget, saved
 
-PAGE = 64
+#: Entries of a page, at most.
+PAGE = 256
 #: Vectors of one tree and queries of one group, about.
 TREE, QUERIES = 8192, 2048
 
