@@ -48,8 +48,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids."""
-    ids = byte_bpe.encode(docs, byte_bpe.read_ranks(public_tokenizers.path(queries.VOCABULARY)), public_tokenizers.PATTERN, decode=False)
+    """doc_id, n_tokens, ids.  Every document's ids are decoded again; the stage fails if that isn't its text."""
+    ids = byte_bpe.encode(docs, byte_bpe.read_ranks(public_tokenizers.path(queries.VOCABULARY)), public_tokenizers.PATTERN, decode=False, verify=True)
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

@@ -184,9 +184,12 @@ def codec(vocabulary: bytes, pattern: str) -> Codec:
     return _codecs[vocabulary, pattern]
 
 
-def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True, verify: bool = False) -> DataFrame:
     """doc_id, ids array<int>, and with decode, decoded binary: the ids of each whole text, and what they decode to.
 
+    With verify, the ids of each text are decoded beside it, and it is an error if they don't give back the text; with
+    verify and not decode, what they decode to is compared and goes no further.
+
     Works row by row without a shuffle; doc_id has the type of id_col, whatever that is, and null ids stay null.  A null
     text counts as empty; empty texts have no ids and decode to nothing.  Repeated rows give repeated results; an empty
     table gives none; columns but those two are not read.
@@ -198,12 +201,15 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_
             texts = batch.column(1).to_pylist()
             for a, b in in_chunks([x or "" for x in texts], SLICE_BYTES):
                 ends, flat, decoded = [0], array("i"), []
-                for x in texts[a:b]:
+                for i, x in enumerate(texts[a:b], a):
                     ids = c.encode(x) if x else array("i")
                     flat += ids
                     ends.append(len(flat))
+                    back = c.decode(ids) if decode or verify else b""
+                    if verify and back != (x or "").encode():
+                        raise ValueError(f"the ids of doc_id {batch.column(0)[i].as_py()!r} don't decode to its text")
                     if decode:
-                        decoded.append(c.decode(ids))
+                        decoded.append(back)
                 columns = [batch.column(0).slice(a, b - a), list_array(ends, pa.array(memoryview(flat) if len(flat) else [], pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(decoded, pa.binary())] * decode, ["doc_id", "ids", "decoded"][: 2 + decode])
 

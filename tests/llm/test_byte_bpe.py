@@ -82,3 +82,14 @@ def test_other_ids_and_no_decoding(spark):
     out = byte_bpe.encode(df, RAW, P.PATTERN, decode=False)
     assert out.columns == ["doc_id", "ids"]
     assert sorted((str(r.doc_id), r.ids) for r in out.collect()) == [("None", []), ("x", LIBRARY.encode_ordinary("two words")), ("y", [])]
+
+
+def test_verified_ids(spark, docs):
+    rows = [(1, None), (2, ""), (3, "Hello,  world\n\u2028中🙂"), (None, "x" * 20_000), (5, "two words " * 200_000)]
+    out = byte_bpe.encode(docs(rows), RAW, P.PATTERN, decode=False, verify=True)
+    assert out.columns == ["doc_id", "ids"]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(((k, LIBRARY.encode_ordinary(x or "")) for k, x in rows), key=repr)
+    both = byte_bpe.encode(docs(rows), RAW, P.PATTERN, verify=True).collect()
+    assert {(r.doc_id, bytes(r.decoded)) for r in both} == {(k, (x or "").encode()) for k, x in rows}
+    with pytest.raises(Exception, match="doc_id 3 don't decode to its text"):
+        byte_bpe.encode(docs([(1, "word"), (3, "two words")]), RAW, r"\p{L}+", verify=True).collect()

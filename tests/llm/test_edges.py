@@ -59,3 +59,10 @@ def test_encoding_on_edges(spark, docs, tmp_path):
     out = corpus_pipeline.encode_tokens(spark, docs(ROWS, ids="i", n_tokens="n"), str(tmp_path)).collect()
     assert sorted((r.doc_id or 0, r.n_tokens > 0) for r in out) == [(0, True), (1, True), (1, True), (2, True), (3, False), (4, False), (5, True), (6, True)]
     assert len({hashlib.sha256(repr(r.ids).encode()).hexdigest() for r in out if r.doc_id == 1}) == 1
+
+
+def test_ids_that_lose_text_fail_the_stage(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline.public_tokenizers, "PATTERN", r"\p{L}+")  # leaves out spaces
+    assert corpus_pipeline.encode_tokens(spark, docs([(1, "word"), (2, None)]), str(tmp_path)).count() == 2
+    with pytest.raises(Exception, match="doc_id 3 don't decode to its text"):
+        corpus_pipeline.encode_tokens(spark, docs([(1, "word"), (3, "two words")]), str(tmp_path)).collect()
