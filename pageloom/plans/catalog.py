@@ -13,12 +13,20 @@ from ..functions import titles
 from ..functions.wrap import wrap
 from ..operators import documents, forms, grouping, legacy, signals
 from ..sources import ocr
+from ..sources.state import saved
 from . import inputs
 from . import sql as s
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of all sources.  Signals are made before pages are numbered, and stored, as the manifest reads them
+    several times."""
+    told = inputs.pages(spark, folder, signals.with_text_signals).select("pdf_id", "page_idx", "classification", "title_text", "total_pages_in_doc")
+    return grouping.manifest(saved(told), block=inputs.BLOCK)
+
+
 def page_lines(spark: SparkSession, folder: str) -> DataFrame:
     found = t.lines(F.coalesce("text", F.lit("")))
     return inputs.read(spark, folder, "documents").withColumn("l", found).select("doc_id", F.size("l").cast("long").alias("n_lines"), F.coalesce(F.get("l", F.lit(0)), F.lit("")).alias("first_line"), F.length(F.array_join("l", "")).cast("long").alias("n_chars"))
@@ -173,8 +181,7 @@ def vision_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def credit_app_selection(spark: SparkSession, folder: str) -> DataFrame:
-    made = grouping.manifest(signals.with_text_signals(inputs.pages(spark, folder)), block=inputs.BLOCK)
-    return forms.credit_applications(made).select("pdf_id", "group_no")
+    return forms.credit_applications(_manifest(spark, folder)).select("pdf_id", "group_no")
 
 
 def pdf_discovery(spark: SparkSession, folder: str) -> DataFrame:

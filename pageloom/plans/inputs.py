@@ -5,6 +5,8 @@ Each is said twice: as a frame, and as SQL for the other engine (the constants i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +36,23 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def pages(spark: SparkSession, folder: str) -> DataFrame:
-    """pdf_id, page_idx from 0, text."""
-    numbers = running_sum(read(spark, folder, "documents").select("source", "doc_id", "text"), ["source"], "doc_id", F.lit(1), "nth", BLOCK)
-    return numbers.select(F.col("source").alias("pdf_id"), (F.col("nth") - 1).cast("int").alias("page_idx"), F.expr(_TEXT).alias("text"))
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """df, dealt out by key where its files give fewer tasks than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def pages(spark: SparkSession, folder: str, told: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """pdf_id, page_idx from 0, text; or, instead of text, the columns that told() makes of the text of each page.
+
+    told is asked before pages are numbered, so that texts pass through no window; it must keep all rows and their columns
+    pdf_id and doc_id.
+    """
+    texts = _spread(read(spark, folder, "documents").select("source", "doc_id", "text"), "doc_id")
+    texts = texts.select(F.col("source").alias("pdf_id"), "doc_id", F.expr(_TEXT).alias("text"))
+    numbers = running_sum(told(texts).drop("text") if told else texts, ["pdf_id"], "doc_id", F.lit(1), "nth", BLOCK)
+    made = [c for c in numbers.columns if c not in ("pdf_id", "doc_id", "nth")]
+    return numbers.select("pdf_id", (F.col("nth") - 1).cast("int").alias("page_idx"), *made)
 
 
 _KIND = "CASE event_type WHEN 'signup' THEN 'NEW_DOC' WHEN 'purchase' THEN 'CONTINUATION' WHEN 'click' THEN 'CONTINUATION' ELSE 'AMBIGUOUS' END"
