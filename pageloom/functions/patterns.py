@@ -27,7 +27,8 @@ DT_NAME = rf"(?md)^([A-Z]{{2,}}){WS}+([A-Z]{{2,}}){WS}+\d{{3}}-\d{{2}}-\d{{4}}"
 DT_PHONES = r"(?isd)at the following number\(s\)(.*?)(?:including any cell phone numbers|You understand)"
 
 NOT_IN_FILE_NAMES = r'[<>:"/\\|?*]+'
-LINE_END = "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]"
+#: One or several: what is between two of them is an empty line.
+LINE_ENDS = "[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]+"
 WATERMARK = "non-authoritative copy"
 CREDIT_APPLICATION = "Credit Application"
 CREDIT_APPLICATION_FILE = "Credit_Application.pdf"

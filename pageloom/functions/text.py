@@ -2,20 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import LINE_END, NOT_IN_FILE_NAMES, WS
+from .patterns import LINE_ENDS, NOT_IN_FILE_NAMES, WS
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is evaluated once, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def first_that(xs: Column, fits: Callable[[Column], Column], near: int = 4) -> Column:
+    """The first of xs that fits; null if none does.  A few are tried before all of them."""
+    return F.coalesce(F.get(F.filter(F.slice(xs, 1, near), fits), F.lit(0)), F.get(F.filter(xs, fits), F.lit(0)))
+
+
+def has_word(c: Column, word: str) -> Column:
+    """Whether c holds a word of small ASCII letters in any case: what patterns that begin with it need, at less cost."""
+    return F.contains(F.lower(c), F.lit(word))
 
 
 def strip(c: Column) -> Column:
-    """Without white space, of any kind Unicode has, at both ends."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    """Without white space, of any kind Unicode has, at both ends.  Where both ends are visible ASCII, nothing is searched."""
+    visible = lambda x, at: F.substring(x, at, 1).between("!", "~")
+    return once(c, lambda x: F.when(visible(x, 1) & visible(x, -1), x).otherwise(F.regexp_replace(x, f"^{WS}+|{WS}+$", "")))
 
 
 def lines(c: Column) -> Column:
     """The stripped, non-empty lines."""
-    return F.filter(F.transform(F.split(c, LINE_END), strip), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, LINE_ENDS), strip), lambda x: x != "")
 
 
 def words(c: Column) -> Column:
@@ -42,7 +60,7 @@ def title_case(c: Column) -> Column:
 
 
 def or_untitled(c: Column) -> Column:
-    return F.coalesce(F.nullif(c, F.lit("")), F.lit("Untitled"))
+    return once(c, lambda x: F.when(x != "", x).otherwise(F.lit("Untitled")))
 
 
 def sanitize_filename(c: Column) -> Column:
@@ -57,7 +75,7 @@ def sanitize_title(c: Column) -> Column:
 
 
 def without_stars(c: Column) -> Column:
-    return strip(F.regexp_replace(c, r"\*+$", ""))
+    return strip(once(c, lambda x: F.when(F.contains(x, F.lit("*")), F.regexp_replace(x, r"\*+$", "")).otherwise(x)))
 
 
 def stem(path: Column) -> Column:

@@ -6,25 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as p
-from .text import digit_count, is_upper, sanitize_filename, title_case, without_stars
+from .text import digit_count, first_that, has_word, is_upper, once, sanitize_filename, title_case, without_stars
 
 
 def is_meaningful(line: Column) -> Column:
     """Not empty, a bare page number, a document marker or the watermark."""
-    return (line != "") & ~line.rlike(p.BARE_PAGE) & ~line.rlike(p.DOC_MARKER) & ~F.lower(line).startswith(p.WATERMARK)
+    return (line != "") & ~(F.lower(line).startswith("page") & line.rlike(p.BARE_PAGE)) & ~is_marked(line) & ~F.lower(line).startswith(p.WATERMARK)
+
+
+def is_marked(text: Column) -> Column:
+    """Whether a line or a text has a document marker."""
+    return has_word(text, "document") & text.rlike(p.DOC_MARKER)
 
 
 def marker_index(lines: Column) -> Column:
     """Of the first line with a document marker, from 0; -1 if none has."""
-    found = F.transform(lines, lambda x: x.rlike(p.DOC_MARKER))
+    found = F.transform(lines, is_marked)
     return (F.array_position(found, F.lit(True)) - 1).cast("int")
 
 
 def marker_title(lines: Column, marker: Column, fallback: Column) -> Column:
     """The first meaningful line after the marker's, else the first of all, else the fallback as it is."""
-    after = F.filter(F.slice(lines, marker + 2, F.greatest(F.size(lines), F.lit(1))), is_meaningful)
-    found = F.coalesce(F.get(after, F.lit(0)), F.get(F.filter(lines, is_meaningful), F.lit(0)))
-    return F.when(found.isNotNull(), sanitize_filename(F.when(is_upper(found), title_case(found)).otherwise(found))).otherwise(fallback)
+    after = once(marker, lambda k: first_that(F.slice(lines, k + 2, F.greatest(F.size(lines), F.lit(1))), is_meaningful))
+    name = lambda x: sanitize_filename(F.when(is_upper(x), title_case(x)).otherwise(x))
+    return once(F.coalesce(after, first_that(lines, is_meaningful)), lambda x: F.when(x.isNotNull(), name(x)).otherwise(fallback))
 
 
 def _could_be(s: Column, least: int, most: int) -> Column:
@@ -54,13 +59,12 @@ def text_title(lines: Column, prefer_last: bool = False) -> Column:
         F.transform(F.slice(lines, 1, 6), without_stars),
         lambda s: (s != F.upper(s)) & ~s.rlike(rf"(?:^|{p.WS})[a-z]") & ~s.rlike(rf"(?:^|{p.WS})(?:(?:(?!{p.WS})[^a-z])*[A-Z]){{3}}(?:(?!{p.WS})[^a-z])*(?:{p.WS}|$)") & _could_be(s, 2, 4),
     )
-    title = F.coalesce(chosen, F.get(named, F.lit(0)))
-    return F.when(title.isNotNull(), sanitize_filename(title))
+    return once(F.coalesce(chosen, F.get(named, F.lit(0))), lambda title: F.when(title.isNotNull(), sanitize_filename(title)))
 
 
 def content_title(text: Column) -> Column:
     """The title of a form that prints none."""
-    return F.when(text.rlike(p.DT_FOOTER) & text.rlike(p.INCOMPLETE_NOTICE), F.lit(p.CREDIT_APPLICATION))
+    return F.when(has_word(text, "incomplete") & text.rlike(p.DT_FOOTER) & text.rlike(p.INCOMPLETE_NOTICE), F.lit(p.CREDIT_APPLICATION))
 
 
 def fallback_name(first: Column, last: Column) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as p
-from ..functions.text import digit_count, lines, strip, words
-from ..functions.titles import content_title, marker_index, marker_title, text_title
+from ..functions.text import digit_count, has_word, lines, once, strip, words
+from ..functions.titles import content_title, is_marked, marker_index, marker_title, text_title
 
 NEW, MORE, UNSURE = "NEW_DOC", "CONTINUATION", "AMBIGUOUS"
 SIGNAL = "struct<classification:string,title_text:string,page_num_in_doc:int,total_pages_in_doc:int>"
@@ -32,7 +32,7 @@ def page_of(line: Column) -> Column:
 
 
 def footers(texts: Column) -> Column:
-    return F.filter(F.transform(texts, page_of), lambda x: x.isNotNull())
+    return F.filter(F.transform(F.filter(texts, lambda x: has_word(x, "page")), page_of), lambda x: x.isNotNull())
 
 
 def needs_ocr(text: Column) -> Column:
@@ -47,16 +47,14 @@ def route(pages: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFram
 
 def text_page_signal(text: Column, page_lines: Column) -> Column:
     """The rules for a page with text; page_lines are its lines()."""
-    first = F.get(F.filter(footers(page_lines), lambda x: x["n"] >= 1), F.lit(0))
-    inferred, title = content_title(text), text_title(page_lines)
-    return (
-        F.when(text.rlike(p.DOC_MARKER), _signal(NEW, F.nullif(marker_title(page_lines, marker_index(page_lines), F.lit("")), F.lit("")), F.lit(1)))
-        .when(first["n"] > 1, _signal(MORE, None, first["n"], first["m"]))
+    titled = once(F.coalesce(content_title(text), text_title(page_lines)), lambda title: F.when(title.isNotNull(), _signal(NEW, title)).otherwise(_signal(UNSURE)))
+    unmarked = once(
+        F.get(F.filter(footers(page_lines), lambda x: x["n"] >= 1), F.lit(0)),
+        lambda first: F.when(first["n"] > 1, _signal(MORE, None, first["n"], first["m"]))
         .when(first["n"] == 1, _signal(NEW, text_title(page_lines, prefer_last=True), F.lit(1), F.when(first["m"] > 1, first["m"])))
-        .when(inferred.isNotNull(), _signal(NEW, inferred))
-        .when(title.isNotNull(), _signal(NEW, title))
-        .otherwise(_signal(UNSURE))
+        .otherwise(titled),
     )
+    return F.when(is_marked(text), _signal(NEW, marker_title(page_lines, marker_index(page_lines), F.lit(None).cast("string")), F.lit(1))).otherwise(unmarked)
 
 
 def with_text_signals(pages: DataFrame, text_col: str = "text") -> DataFrame:

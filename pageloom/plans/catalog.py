@@ -27,6 +27,10 @@ def _manifest(spark: SparkSession, folder: str) -> DataFrame:
     return grouping.manifest(saved(told), block=inputs.BLOCK)
 
 
+def _lined(texts: DataFrame) -> DataFrame:
+    return texts.withColumn("l", t.lines(F.col("text")))
+
+
 def page_lines(spark: SparkSession, folder: str) -> DataFrame:
     found = t.lines(F.coalesce("text", F.lit("")))
     return inputs.read(spark, folder, "documents").withColumn("l", found).select("doc_id", F.size("l").cast("long").alias("n_lines"), F.coalesce(F.get("l", F.lit(0)), F.lit("")).alias("first_line"), F.length(F.array_join("l", "")).cast("long").alias("n_chars"))
@@ -60,7 +64,8 @@ def _title(last: bool) -> Query:
 
 def marker_titles(spark: SparkSession, folder: str) -> DataFrame:
     lines = F.col("l")
-    return inputs.pages(spark, folder).withColumn("l", t.lines(F.col("text"))).select("pdf_id", "page_idx", titles.marker_title(lines, titles.marker_index(lines), F.lit("none")).alias("title"))
+    title = titles.marker_title(lines, titles.marker_index(lines), F.lit("none"))
+    return inputs.pages(spark, folder, lambda texts: _lined(texts).withColumn("title", title).drop("l"))
 
 
 def text_page_signals(spark: SparkSession, folder: str) -> DataFrame:

@@ -274,3 +274,13 @@ def test_stream(spark, tmp_path):
     query = incremental.split_stream(incremental.watch_pages(spark, str(tmp_path / "in"), "pdf_id string, page_idx int, text string"), lambda df, n: df.write.mode("overwrite").parquet(str(tmp_path / f"out{n}")), str(tmp_path / "state"))
     query.awaitTermination()
     assert [r.file_name for r in spark.read.parquet(str(tmp_path / "out0")).collect()] == ["A_Title.pdf"]
+
+
+@pytest.mark.parametrize(
+    ("lines", "marker", "want"),
+    [(["Page 1", "page 2", "Page 3", "Page 4", "DOCUMENT 1 OF 2", "Late line"], -1, "Late line"), (["a b", *["Page 1"] * 9], 0, "a b"), (["x", "DOCUMENT 1 OF 2", *["Page 1"] * 5, "after"], 1, "after"), (["Page 1"] * 6, -1, "none")],
+)
+def test_marker_titles_far_from_the_marker(spark, lines, marker, want):
+    from pageloom.functions.titles import marker_title
+
+    assert value(spark, marker_title(arr(*lines), F.lit(marker), F.lit("none"))) == want
