@@ -42,22 +42,22 @@ def strip_len_route(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def doc_marker_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.pages(spark, folder).where(F.col("text").rlike(p.DOC_MARKER)).select("pdf_id", "page_idx")
+    return inputs.pages(spark, folder, lambda texts: texts.withColumn("is_marked", titles.is_marked(F.col("text")))).where("is_marked").select("pdf_id", "page_idx")
 
 
 def page_n_of_m(spark: SparkSession, folder: str) -> DataFrame:
-    found = inputs.pages(spark, folder).withColumn("x", F.get(signals.footers(t.lines(F.col("text"))), F.lit(0)))
+    found = inputs.pages(spark, folder, lambda texts: texts.withColumn("x", F.get(signals.footers(t.lines(F.col("text"))), F.lit(0))))
     return found.where("x is not null").select("pdf_id", "page_idx", F.col("x.n").alias("page_num"), F.col("x.m").alias("total"))
 
 
 def meaningful_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = t.lines(F.col("text"))
-    return inputs.pages(spark, folder).select("pdf_id", "page_idx", F.array_join(F.filter(lines, titles.is_meaningful), "|").alias("lines"))
+    return inputs.pages(spark, folder, lambda texts: texts.withColumn("lines", F.array_join(F.filter(lines, titles.is_meaningful), "|")))
 
 
 def _title(last: bool) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return inputs.pages(spark, folder).withColumn("l", t.lines(F.col("text"))).select("pdf_id", "page_idx", titles.text_title(F.col("l"), last).alias("title"))
+        return inputs.pages(spark, folder, lambda texts: _lined(texts).withColumn("title", titles.text_title(F.col("l"), last)).drop("l"))
 
     return run
 
@@ -69,7 +69,7 @@ def marker_titles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_page_signals(spark: SparkSession, folder: str) -> DataFrame:
-    return signals.with_text_signals(inputs.pages(spark, folder)).drop("text")
+    return inputs.pages(spark, folder, signals.with_text_signals)
 
 
 def group_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,16 +87,16 @@ def group_members(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    out = grouping.manifest(signals.with_text_signals(inputs.pages(spark, folder)), block=inputs.BLOCK)
+    out = _manifest(spark, folder)
     return out.select("pdf_id", "group_no", "start_page", "end_page", "n_pages", "raw_title", "file_name")
 
 
 def legacy_starts(spark: SparkSession, folder: str) -> DataFrame:
-    return legacy.with_starts(inputs.pages(spark, folder)).where("is_start").select("pdf_id", "page_idx")
+    return legacy.started(saved(inputs.pages(spark, folder, legacy.with_marks).select("pdf_id", "page_idx", *legacy.STARTS))).where("is_start").select("pdf_id", "page_idx")
 
 
 def legacy_segments(spark: SparkSession, folder: str) -> DataFrame:
-    return legacy.segments(inputs.pages(spark, folder), block=inputs.BLOCK)
+    return legacy.segments_of(saved(inputs.pages(spark, folder, legacy.with_marks)), block=inputs.BLOCK)
 
 
 def ocr_flatten(spark: SparkSession, folder: str) -> DataFrame:

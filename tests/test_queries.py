@@ -70,6 +70,14 @@ def test_running_sums_by_block(spark):
     assert running_sum(df.limit(0), ["k"], "o", F.col("v"), "s", 4).count() == 0
 
 
+@pytest.mark.parametrize("name", ["credit_app_selection", "split_manifest", "legacy_segments", "legacy_starts"])
+def test_what_texts_say_is_stored(spark, name):
+    """These read the signals of pages several times, so no text may be looked at in their plans."""
+    df = QUERIES[name](spark, DATA)
+    assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.inputFiles() and not [f for f in df.inputFiles() if "documents.parquet" in f]
+
+
 def test_titles_are_looked_for_once_and_before_windows(spark):
     plan = QUERIES["marker_titles"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("array_position(") == 1
